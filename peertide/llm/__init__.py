@@ -1 +1 @@
-
+"""Operators for language-model data. Nothing outside this subpackage imports it."""
