@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Written once to the shared folder; what follows no longer depends on the executors that computed it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Written once as a table in the shared folder and read back: what follows no longer depends on the executors that
+    computed it, and its plan knows the table's true size."""
+    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
