@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from peertide.functions.ids import is_observer, norm_country, norm_id
 from peertide.llm.kmv import estimates, kmv, merge, set_operations
+from peertide.llm.leak import leaks
 from peertide.llm.overlap import overlaps
+from peertide.llm.tokens import encode_texts
 from peertide.llm.topn import best_row, top_n
 from peertide.session import durable, table
 
@@ -75,7 +77,22 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_overlap(spark, d).select("hash_a", "hash_b")
 
 
-QUERIES = {f.__name__: f for f in (p5_distinct, p5_day_to_day, p6_top, p6_found, p7_overlap, p7_found)}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Every document as ids of byte_bpe_50k."""
+    return encode_texts(table(spark, d, "documents"))
+
+
+def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a window of 12 words within one word edit of a window of an item."""
+    return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Of those the ones with at least 12 successive words of the item."""
+    return p9_leaks(spark, d).where("longest_run >= 12").select("doc_id", "item_id")
+
+
+QUERIES = {f.__name__: f for f in (p5_distinct, p5_day_to_day, p6_top, p6_found, p7_overlap, p7_found, p8_ids, p9_leaks, p9_found)}
 
 _OBSERVER = "not (starts_with(ip, '_queried_') or starts_with(ip, '_marker_'))"
 _UP = "upper(trim(country, E' \\t\\n\\r'))"
