@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from peertide.session import durable
+
 #: Identifiers a run holds about; sets are cut into ranges of the identifier space so that no run is much longer.
 RUN = 4096
 #: Partners met by one copy of a run; a set with more partners is copied to several tasks.
@@ -93,7 +95,7 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
     """(set_a, set_b, n_a, n_b, n_shared) for pairs of sets of at least `min_size` distinct members that share at least
     `min_share` of the smaller one's members; set_a < set_b.
 
-    Members become 64-bit hash values (at 10^9 distinct members 0.03 colliding pairs are expected).
+    Members and sets are handled as 64-bit hash values (at 10^9 distinct members 0.03 colliding pairs are expected).
 
     Candidates lose nothing: to share t of its n members with a larger set, the smaller one must share at least
     p - n + t of any p of its members. The p members taken are its rarest, up to a rarity level at which p > n - t, so
@@ -106,13 +108,14 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
 
     Null keys and members take no part, repeats count once, sets under min_size give no rows, an empty table none.
     """
-    rows = df.select(set_key.alias("s"), F.xxhash64(member).alias("i"), member.isNotNull().alias("ok"))
-    elements = rows.where("ok and s is not null").select("s", "i").distinct()
-    sizes = elements.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_size)
+    named = df.select(set_key.alias("name"), member.alias("m")).where("name is not null and m is not null")
+    rows = named.select(F.xxhash64("name").alias("s"), F.xxhash64("m").alias("i"))
+    elements = rows.distinct()
+    sizes = elements.groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= min_size)
     e = elements.join(sizes, "s")
     # level of rarity: 0 for members of one set only, else the binary order of the number of sets
     df_ = e.groupBy("i").agg(F.count(F.lit(1)).alias("d")).where("d > 1").select("i", F.floor(F.log2("d")).cast("int").alias("level"))
-    common = e.join(df_, "i")  # members of one set only cannot be shared
+    common = durable(e.join(df_, "i"))  # members of one set only cannot be shared
     need = F.ceil(F.col("n") * F.lit(min_share))
     hist = common.groupBy("s", "n", "level").agg(F.count(F.lit(1)).alias("c"))
     total = Window.partitionBy("s")
@@ -132,6 +135,7 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
     cand = (
         probe.join(other, "i").where(larger).groupBy("a", "b", "n_a", "n_b", "k").agg(F.count(F.lit(1)).alias("c")).where("c >= k")
     )
+    cand = durable(cand)
     cand = cand.withColumn("bits", _ranges(F.col("n_b"))).select("a", "b", "n_a", "n_b", "bits")
     partners = cand.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(PARTNERS)).cast("int").alias("copies"))
     cand = cand.join(partners, "b").withColumn("copy", F.pmod(F.xxhash64("a"), F.col("copies")))
@@ -157,9 +161,9 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
             keep = [n for n in x.schema.names if n != "ids"]
             yield pa.RecordBatch.from_arrays([*[x.column(n) for n in keep], pa.array(out, pa.binary())], [*keep, "run"])
 
-    fragments = fragments.mapInArrow(pack, "b string, r bigint, copy bigint, a string, run binary")
+    fragments = fragments.mapInArrow(pack, "b bigint, r bigint, copy bigint, a bigint, run binary")
     fragments = fragments.groupBy("b", "r", "copy").agg(F.collect_list(F.struct("a", "run")).alias("f"))
-    runs = runs.select("b", "r", "copy", "ids").mapInArrow(pack, "b string, r bigint, copy bigint, run binary")
+    runs = runs.select("b", "r", "copy", "ids").mapInArrow(pack, "b bigint, r bigint, copy bigint, run binary")
     work = runs.join(fragments, ["b", "r", "copy"]).select("b", "run", F.col("f.a").alias("a"), F.col("f.run").alias("runs"))
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,16 +181,21 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
                         bs.append(b)
                         cs.append(c)
             yield pa.RecordBatch.from_arrays(
-                [a_names.flatten().take(pa.array(names, pa.int64())), pa.array(bs, pa.string()), pa.array(cs, pa.int64())], ["a", "b", "c"]
+                [a_names.flatten().take(pa.array(names, pa.int64())), pa.array(bs, pa.int64()), pa.array(cs, pa.int64())], ["a", "b", "c"]
             )
 
-    counts = work.mapInArrow(count, "a string, b string, c bigint").groupBy("a", "b").agg(F.sum("c").alias("n_shared"))
+    counts = work.mapInArrow(count, "a bigint, b bigint, c bigint").groupBy("a", "b").agg(F.sum("c").alias("n_shared"))
     out = counts.join(cand.select("a", "b", "n_a", "n_b"), ["a", "b"]).where(F.col("n_shared") >= F.ceil(F.col("n_a") * F.lit(min_share)))
-    swap = F.col("a") > F.col("b")
+    out = durable(out)
+    wanted_names = out.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+    names = named.select("name", F.xxhash64("name").alias("s")).join(wanted_names, "s", "left_semi").distinct()
+    out = out.join(names.select(F.col("s").alias("a"), F.col("name").alias("name_a")), "a")
+    out = out.join(names.select(F.col("s").alias("b"), F.col("name").alias("name_b")), "b")
+    swap = F.col("name_a") > F.col("name_b")
     return out.select(
-        F.least("a", "b").alias("set_a"),
-        F.greatest("a", "b").alias("set_b"),
-        F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"),
-        F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"),
+        F.least("name_a", "name_b").alias("set_a"),
+        F.greatest("name_a", "name_b").alias("set_b"),
+        F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).cast("bigint").alias("n_a"),
+        F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).cast("bigint").alias("n_b"),
         "n_shared",
     )
