@@ -9,6 +9,7 @@ from peertide.functions.ids import is_observer, norm_country, norm_id
 from peertide.llm.kmv import estimates, kmv, merge, set_operations
 from peertide.llm.leak import leaks
 from peertide.llm.overlap import overlaps
+from peertide.llm.resolve import match
 from peertide.llm.tokens import encode_texts
 from peertide.llm.topn import best_row, top_n
 from peertide.session import durable, table
@@ -23,6 +24,16 @@ def _peer_sketches(spark: SparkSession, d: str) -> DataFrame:
     return durable(kmv(p, ["obs_date", "country"], F.col("ip"), K))
 
 
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Hashes and catalogue entries of the same work, with a confidence."""
+    h = table(spark, d, "hashes").select("hash", "raw_name", "title", "imdb_id", "category")
+    return match(h, table(spark, d, "catalog_info"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_matches(spark, d).select("hash", "catalog_ip_id")
+
+
 def _best_counts(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "title_country").select("date", "country", "ip_id", "ip_count")
     keys = {"obs_date": F.col("date"), "country": norm_country("country"), "ip_id": norm_id("ip_id")}
@@ -92,7 +103,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).where("longest_run >= 12").select("doc_id", "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p5_distinct, p5_day_to_day, p6_top, p6_found, p7_overlap, p7_found, p8_ids, p9_leaks, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_matches, p1_found, p5_distinct, p5_day_to_day, p6_top, p6_found, p7_overlap, p7_found, p8_ids, p9_leaks, p9_found)}
 
 _OBSERVER = "not (starts_with(ip, '_queried_') or starts_with(ip, '_marker_'))"
 _UP = "upper(trim(country, E' \\t\\n\\r'))"
