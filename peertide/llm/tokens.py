@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import os
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -228,10 +228,8 @@ def encode_texts(
     top = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(frequent).collect()
     lex = Lexicon.build({(w := r.word.encode()): merge_word(w, ranks) for r in top})
     folder = tempfile.mkdtemp(prefix="lexicon-")  # only where the driver hands the file out from
-    lex.save(f"{folder}/l")
-    with open(f"{folder}/l", "rb") as f:
-        name = f"lexicon-{hashlib.sha256(f.read()).hexdigest()[:24]}.bin"
-    os.rename(f"{folder}/l", f"{folder}/{name}")
+    name = f"lexicon-{uuid.uuid4().hex}.bin"  # a name of its own: files of a session are known by their names
+    lex.save(f"{folder}/{name}")
     spark.sparkContext.addFile(f"{folder}/{name}")
     spark.sparkContext.addFile(vocabulary)
     vocabulary_name = os.path.basename(vocabulary)
