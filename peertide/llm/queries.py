@@ -9,6 +9,7 @@ from peertide.functions.ids import is_observer, norm_country, norm_id
 from peertide.llm.kmv import estimates, kmv, merge, set_operations
 from peertide.llm.leak import leaks
 from peertide.llm.overlap import overlaps
+from peertide.llm.pii import find_personal, redact
 from peertide.llm.resolve import match
 from peertide.llm.tokens import encode_texts
 from peertide.llm.topn import best_row, top_n
@@ -103,7 +104,18 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).where("longest_run >= 12").select("doc_id", "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_matches, p1_found, p5_distinct, p5_day_to_day, p6_top, p6_found, p7_overlap, p7_found, p8_ids, p9_leaks, p9_found)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every piece of personal information, once per document, kind and value."""
+    return find_personal(table(spark, d, "documents")).select("doc_id", "kind", "value").distinct()
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with placeholders in place of personal information."""
+    docs = table(spark, d, "documents")
+    return redact(docs, find_personal(docs))
+
+
+QUERIES = {f.__name__: f for f in (p1_matches, p1_found, p5_distinct, p5_day_to_day, p6_top, p6_found, p7_overlap, p7_found, p8_ids, p9_leaks, p9_found, p10_found, p10_redacted)}
 
 _OBSERVER = "not (starts_with(ip, '_queried_') or starts_with(ip, '_marker_'))"
 _UP = "upper(trim(country, E' \\t\\n\\r'))"
