@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 #: Words that say nothing about a title.
 STOP_WORDS = ("the", "and", "for", "with", "from", "season", "episode", "complete", "multi")
@@ -24,9 +25,14 @@ def squash(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))
 
 
+def word_list(c: Column) -> Column:
+    """Runs of ASCII letters and digits in lower case, in order."""
+    return F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != "")
+
+
 def words(c: Column) -> Column:
-    """Distinct runs of ASCII letters and digits in lower case, in order."""
-    return F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != ""))
+    """The distinct ones of them."""
+    return F.array_distinct(word_list(c))
 
 
 def name_tokens(c: Column) -> Column:
@@ -83,19 +89,19 @@ def processing_date(at: Column) -> Column:
     return F.when(F.hour(at) < 6, F.date_sub(F.to_date(at), 1)).otherwise(F.to_date(at))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def fold_accents(s: pd.Series) -> pd.Series:
     """NFKD without combining marks: Spark has no such function."""
     return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp similarity of two strings."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
 
 
-@pandas_udf("boolean")
+@pandas_udf(BooleanType())
 def is_global_ip(s: pd.Series) -> pd.Series:
     """Whether an address is public; null where it is no address."""
 
