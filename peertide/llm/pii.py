@@ -171,7 +171,7 @@ def checked(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int
             while e < len(text) and text[e].isalnum():
                 e += 1
             m = forms.NAME.search(text, s, min(len(text), e + 1))
-            best = (m.start(), m.end()) if m and m.end() <= e + 1 else None
+            best = (m.start(), m.end()) if m and m.end() <= e + 1 and forms.plausible_name(m.group()) else None
         else:
             for m in _FORMS[k].finditer(text, lo, hi):
                 common = min(e, m.end()) - max(s, m.start())

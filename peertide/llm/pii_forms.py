@@ -40,7 +40,18 @@ ADDRESS = re.compile(
 _LETTERS = r"[^\W\d_](?:[\w'’\-]*\w)?"
 _PARTICLE = r"(?:van|von|de la|de|del|da|di|le|Mac|Mc|van der|VAN|VON|DE LA|DE|MAC)"
 _FAMILY = rf"(?:{_PARTICLE} )?{_LETTERS}"
-NAME = re.compile(rf"(?:{_FAMILY}, {_LETTERS}(?: [^\W\d_]\.)?|(?:[^\W\d_]\.|{_LETTERS})(?: ?[^\W\d_]\.)* {_FAMILY})(?![\w'’])")
+NAME = re.compile(rf"(?:{_FAMILY}, {_LETTERS}(?: [^\W\d_]\.)?|(?:[^\W\d_]\.|{_LETTERS})(?: [^\W\d_]\.)* {_FAMILY})(?![\w'’])")
+
+
+
+def plausible_name(s: str) -> bool:
+    """Every word in capitals or capitalised, or every word in lower case; particles apart; no single letters but initials."""
+    w = [x for x in re.findall(r"[^\W\d_][\w'’\-]*\.?", s) if x.lower() not in ("van", "von", "de", "la", "del", "da", "di", "le", "der")]
+    if any(len(x) == 1 for x in w):
+        return False
+    long = [x for x in w if not x.endswith(".")]
+    return all(x[0].isupper() for x in long) or all(x.islower() for x in long)
+
 
 #: Words before a person's name in texts of this kind, and what follows; used to label spans for training.
 CUES = [
