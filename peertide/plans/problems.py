@@ -16,6 +16,9 @@ HUGE = 0.04
 #: Most addresses that can be counted: for titles the number of IPv4 addresses outside any doubt, for channels the estimator's end.
 TITLE_UPPER = 50_000_000.0
 CHANNEL_UPPER = 50_000.0
+#: Usual deviations from which a reading is a spike. The deviation is a median of residuals that still hold the rhythm of the
+#: day, so for channels (four runs a day, a strong rhythm) it is larger and the number smaller.
+TITLE_DEVIATIONS, CHANNEL_DEVIATIONS = 7.0, 5.0
 
 
 def p2_hash(spark: SparkSession, d: str) -> DataFrame:
@@ -70,14 +73,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
         F.col("ip_count"),
         F.col("loaded_at"),
     )
-    titles = implausible(daily, F.col("entity"), F.col("day"), F.col("value"), upper=TITLE_UPPER)
+    titles = implausible(daily, F.col("entity"), F.col("day"), F.col("value"), upper=TITLE_UPPER, deviations=TITLE_DEVIATIONS)
     runs = (
         table(spark, d, "acestream_demand")
         .where("infohash is not null and run_ts is not null")
         .groupBy("infohash", "run_ts")
         .agg(F.max("bep33_leechers").alias("value"))
     )
-    channels = implausible(runs, F.col("infohash"), F.col("run_ts"), F.col("value"), upper=CHANNEL_UPPER)
+    channels = implausible(runs, F.col("infohash"), F.col("run_ts"), F.col("value"), upper=CHANNEL_UPPER, deviations=CHANNEL_DEVIATIONS)
     return titles.select(
         F.lit("title_demand").alias("table_name"),
         F.col("series").alias("series_key"),
@@ -109,7 +112,7 @@ _FLAGS = """{n}p as (select series, ts, value::double as v from {n}src where val
 {n}v as (select series, ts, ln(v) as x from {n}p where v > 0 and v <= {upper}),
 {n}m as (select *, x - median(x) over (partition by series order by ts rows between 7 preceding and 7 following) as r from {n}v),
 {n}u as (select *, 1.4826 * median(abs(r)) over (partition by series) as usual from {n}m),
-{n}a as (select *, case when abs(r) > ln(2) and abs(r) > 6.5 * usual then sign(r) else 0 end as side from {n}u),
+{n}a as (select *, case when abs(r) > ln(2) and abs(r) > {k} * usual then sign(r) else 0 end as side from {n}u),
 {n}b as (select *, row_number() over (partition by series order by ts) - row_number() over (partition by series, side order by ts) as g from {n}a),
 {n}c as (select *, count(*) over (partition by series, side, g) as n from {n}b),
 {n}s as (select *, row_number() over (partition by series order by ts) - row_number() over (partition by series, v order by ts) as g from {n}p),
@@ -134,7 +137,7 @@ ORACLE = {
     "p4_found": "with d as (" + _LAST + "), tsrc as (select ip_id as series, date as ts, case when not is_null then v end as value from d),\n"
     + "csrc as (select infohash as series, run_ts as ts, max(bep33_leechers) as value from acestream_demand "
     + "where infohash is not null and run_ts is not null group by 1, 2),\n"
-    + _FLAGS.format(n="t", upper="50000000") + ",\n" + _FLAGS.format(n="c", upper="50000") + """
+    + _FLAGS.format(n="t", upper="50000000", k=TITLE_DEVIATIONS) + ",\n" + _FLAGS.format(n="c", upper="50000", k=CHANNEL_DEVIATIONS) + """
 select 'title_demand' as table_name, series as series_key, strftime(ts, '%Y-%m-%d') as obs_at from thits
 union all select 'acestream_demand', series, strftime(ts, '%Y-%m-%d %H:%M:%S') from chits""",
 }
