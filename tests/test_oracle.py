@@ -9,12 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from peertide.plans import demand, identity, problems, relational, series, serve, streams
 
 D = "/root/testdata/sf0.001"
-PARTS = (demand, relational, series, identity, serve, streams, problems)
-QUERIES = {k: f for p in PARTS for k, f in p.QUERIES.items()}
-ORACLE = {k: s for p in PARTS for k, s in p.ORACLE.items()}
+QUERIES = {k: f for p in entry._CORE for k, f in p.QUERIES.items()}
+ORACLE = {k: s for p in entry._CORE for k, s in p.ORACLE.items()}
 pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
 
 
