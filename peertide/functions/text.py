@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import difflib
 import ipaddress
 import unicodedata
@@ -118,3 +119,37 @@ def ipv4_number(c: Column) -> Column:
     p = F.split(c, r"\.")
     part = lambda i: F.element_at(p, i).cast("bigint")
     return F.when(F.size(p) == 4, part(1) * 16777216 + part(2) * 65536 + part(3) * 256 + part(4))
+
+
+@pandas_udf(StringType())
+def base32_hex(s: pd.Series) -> pd.Series:
+    """A base32 content hash as 40 hex digits; hex ones in lower case; null for anything else."""
+
+    def one(x: str | None) -> str | None:
+        if x is None:
+            return None
+        if len(x) == 40:
+            return x.lower() if all(c in "0123456789abcdefABCDEF" for c in x) else None
+        try:
+            raw = base64.b32decode(x.upper())
+        except ValueError:
+            return None
+        return raw.hex() if len(raw) == 20 else None
+
+    return s.map(one)
+
+
+def name_guard(name: Column, title: Column, *, year_gap: int = 1, name_year: Column | None = None, title_year: Column | None = None) -> Column:
+    """Whether a release name may stand for a title. Years further apart than `year_gap` refuse. Short titles must be met whole:
+    up to three words all of them, of four words three, of longer ones 60 %."""
+    w = F.array_distinct(F.filter(words(title), lambda x: ~x.isin(*STOP_WORDS)))
+    n = F.size(w)
+    met = F.size(F.array_intersect(w, words(name)))
+    enough = F.when(n == 0, F.lit(False)).when(n <= 3, met == n).when(n == 4, met >= 3).otherwise(met / n >= 0.6)
+    if name_year is None or title_year is None:
+        return enough
+    return enough & F.coalesce(F.abs(name_year - title_year) <= year_gap, F.lit(True))
+
+
+def organisation_is_datacenter(org: Column, keywords: tuple[str, ...] = ("hosting", "server", "cloud", "datacenter", "vpn")) -> Column:
+    return F.coalesce(F.lower(org).rlike("|".join(keywords)), F.lit(False))

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peertide.functions.ids import is_observer, norm_country
+from peertide.operators.dedup import latest_view
+from peertide.plans.common import AS_OF, BRIDGE, OBS, bridge, observations
+from peertide.plans.relational import ORACLE as RELATIONAL
 from peertide.session import shared_dir
 from peertide.sources import feeds
 from peertide.streaming import announce
@@ -54,11 +57,40 @@ def stm09_throttle(spark, d):
     return _drain(announce.throttled(events, "source", "at", 6 * 3600), "append").select("source", F.col("at").cast("timestamp_ntz").alias("at"))
 
 
-QUERIES = {f.__name__: f for f in (stm01_stream_dedup, stm03_state_last_seen, stm09_throttle)}
+def stm02_upsert_batches(spark, d):
+    """State of the upsert over a log written by idempotent micro-batches."""
+    base = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    q = announce.upsert_batches(_stream(spark, d), f"{base}/log", f"{base}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    log = spark.read.parquet(f"{base}/log").withColumn("country", F.nullif("country", F.lit("??")))
+    return latest_view(log, ["hash", "ip"])
+
+
+def stm05_rollover(spark, d):
+    """Rows per event day and hour of arrival: a new day is a new window."""
+    s = _stream(spark, d).withWatermark("ingested_at", "60 days")
+    g = s.groupBy(F.window("ingested_at", "1 day").alias("w"), F.hour("ingested_at").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    return _drain(g.select(F.to_date("w.start").alias("day"), "hour", "n"), "complete")
+
+
+def stm07_tiers(spark, d):
+    """Worklists by activity: active in three days, dormant, never seen."""
+    o = observations(spark, d).groupBy("hash").agg(F.max("last_seen").alias("last"), F.min("first_seen").alias("first"))
+    day = F.lit(AS_OF).cast("date")
+    tier = F.when(F.col("last") >= F.date_sub(day, 3), "active").when(F.col("last").isNotNull(), "dormant").otherwise("new")
+    b = bridge(spark, d).select("hash", "seeders").join(o, "hash", "left")
+    return b.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("n"), F.sum("seeders").alias("seeders"))
+
+
+QUERIES = {f.__name__: f for f in (stm02_upsert_batches, stm05_rollover, stm07_tiers, stm01_stream_dedup, stm03_state_last_seen, stm09_throttle)}
 
 _UP = "upper(trim(country, E' \\t\\n\\r'))"
 _OBS = f"obs as (select lower(hash) as hash, ip, case when {_UP} in ('', 'XX', '??', 'OTHER') or country is null then '??' else {_UP} end as country, first_seen, last_seen, ingested_at from peers where not (starts_with(ip, '_queried_') or starts_with(ip, '_marker_')))"
 ORACLE = {
+    "stm02_upsert_batches": RELATIONAL["set08_upsert_view"],
+    "stm05_rollover": f"with {_OBS} select ingested_at::date as day, hour(ingested_at)::int as hour, count(*) as n from obs group by 1, 2",
+    "stm07_tiers": f"""with {OBS}, {BRIDGE}, l as (select hash, max(last_seen) as last from obs group by 1)
+  select case when last >= date '{AS_OF}' - 3 then 'active' when last is not null then 'dormant' else 'new' end as tier, count(*) as n, sum(seeders)::bigint as seeders from bridge left join l using (hash) group by 1""",
     "stm01_stream_dedup": f"with {_OBS} select ingested_at::date as day, hash, country, count(distinct ip) as n_ips from obs group by 1, 2, 3",
     "stm03_state_last_seen": f"with {_OBS} select hash, ip, min(first_seen) as first_seen, max(last_seen) as last_seen from obs group by 1, 2",
 }

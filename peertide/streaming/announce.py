@@ -40,12 +40,12 @@ def throttled(events: DataFrame, key: str, at: str, pause_s: int, late: str = "1
     return keyed.applyInPandasWithState(run, f"{key} string, {at} timestamp", "last long", "append", GroupStateTimeout.NoTimeout)
 
 
-def upsert_batches(stream: DataFrame, path: str, checkpoint: str, key: list[str]):
-    """Micro-batches appended with their batch id; a batch that runs again replaces its own partition, so the log holds each
-    batch once. The state is the view `latest_view` over the log."""
+def upsert_batches(stream: DataFrame, path: str, checkpoint: str):
+    """Micro-batches appended with their batch id, exact repeats once; a batch that runs again replaces its own partition, so the
+    log holds each batch once. The state is the view `latest_view` over the log."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.dropDuplicates(key).withColumn("batch", F.lit(batch_id))
+        b = batch.dropDuplicates().withColumn("batch", F.lit(batch_id))
         b.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

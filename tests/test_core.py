@@ -196,3 +196,35 @@ def test_throttle(spark, tmp_path):
     q = announce.throttled(s, "k", "at", 6 * 3600).writeStream.format("memory").queryName("alerts").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("alerts").groupBy("k").count().orderBy("k").collect() == [("a", 2), ("b", 1)]
+
+
+def test_wire_formats(spark, tmp_path):
+    assert feeds.bencode(b"d1:ai-3e1:bl3:xyzi0eee") == {b"a": -3, b"b": [b"xyz", 0]}
+    for broken in (b"", b"i3", b"5:abc", b"l", b"i1ei2e", b"x"):
+        with pytest.raises(ValueError):
+            feeds.bencode(broken)
+    df = spark.createDataFrame([(b"d1:a2:\xff\xfee",), (b"le",), (b"zz",), (None,)], "b binary")
+    assert [r[0] for r in df.select(feeds.bencode_json("b")).collect()] == ['{"a": "fffe"}', "[]", None, None]
+    v6 = spark.createDataFrame([(bytes([0x20, 1] + [0] * 13 + [1, 0, 80]),)], "p binary").select(feeds.compact_peers_v6(F.col("p"))).first()[0]
+    assert [(x.ip, x.port) for x in v6] == [("2001:0000:0000:0000:0000:0000:0000:0001", 80)]
+    h = "ab" * 20
+    page = spark.createDataFrame([(f'<a href="magnet:?xt=urn:btih:{h.upper()}&dn=x">m</a> urn:btih:{h}', "VPK3XK53XOV3XK53XOV3XK53XOV3XK53")], "p string, b string")
+    r = page.select(feeds.magnet_hashes(F.col("p")), text.base32_hex("b")).first()
+    assert list(r[0]) == [h] and len(r[1]) == 40
+    (tmp_path / "log.txt").write_text("a done=1\nb\nc done=2\nd\n")
+    assert feeds.last_mark(spark, str(tmp_path / "log.txt"), r"done=(\d+)").first()[0] == "2"
+
+
+def test_landed_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"items": [{"k": "x", "n": 1}, {"k": null, "n": 2}]}')
+    assert [tuple(r) for r in feeds.json_rows(spark, str(tmp_path / "a.json"), "items array<struct<k:string,n:int>>", "items").collect()] == [("x", 1), (None, 2)]
+    (tmp_path / "a.xml").write_text("<rss><item><title>t</title><n>3</n></item><item><title>u</title></item></rss>")
+    assert sorted(tuple(r) for r in feeds.xml_rows(spark, str(tmp_path / "a.xml"), "item", "title string, n int").collect()) == [("t", 3), ("u", None)]
+    assert feeds.previous_day(spark, str(tmp_path), "2026-01-01", "k string, n int") is None
+    (tmp_path / "2026-01-01.csv").write_text("k,n\nx,1\ny,z,z\n")
+    assert [r.k for r in feeds.previous_day(spark, str(tmp_path), "2026-01-01", "k string, n int").collect()] == ["x"]
+    spark.createDataFrame([("7", "a")], "n string, k string").write.parquet(str(tmp_path / "2026-01-02.parquet"))
+    assert [tuple(r) for r in feeds.previous_day(spark, str(tmp_path), "2026-01-02", "k string, n int, m long").collect()] == [("a", 7, 0)]
+    assert feeds.optional(spark, {"a": str(tmp_path / "none.parquet")}) == {"a": None}
+    sinks.ordered_csv(spark.createDataFrame([("b", 1), ("a", 2)], "k string, n int"), str(tmp_path / "o"), ["k"], ["n", "k"])
+    assert next((tmp_path / "o").glob("*.csv")).read_text().split() == ["n,k", "2,a", "1,b"]
