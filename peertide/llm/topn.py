@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Names no table has.
+PREFIX = "__peertide_"
+HOT, SALT, N_ROWS = PREFIX + "hot", PREFIX + "salt", PREFIX + "n"
+
 
 def top_n(
     df: DataFrame, group: list[str], score: str, tie: list[str], n: int, *, heavy_rows: int = 10_000, salts: int = 16
@@ -19,7 +23,7 @@ def top_n(
     The join with the heavy groups is not hinted: Spark broadcasts them only under its size limit. Null group columns form a
     group of their own; null scores rank last; rows equal in score and tie keep an order by all other columns, so the
     result is the same in every run; fewer than n rows give what there is; an empty table gives no rows. A column named
-    `rank` is replaced, and the helper columns `_hot` and `_salt` must not exist.
+    `rank` is replaced; helper columns have names of their own.
     """
     df = df.drop("rank")
     rest = sorted(c for c, kind in df.dtypes if c not in (*group, score, *tie) and not kind.startswith("map"))
@@ -28,13 +32,13 @@ def top_n(
     def best(d: DataFrame, by: list[str]) -> DataFrame:
         return d.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= n)
 
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.where(F.col("_n") > heavy_rows).select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.lit(True).alias("_hot"))
-    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]
-    marked = df.join(heavy, same, "left").drop(*[f"_g{i}" for i in range(len(group))])
-    cold = best(marked.where("_hot is null").drop("_hot"), group)
-    salted = marked.where("_hot").drop("_hot").withColumn("_salt", F.pmod(F.xxhash64(*tie), F.lit(salts)))
-    hot = best(best(salted.repartitionByRange(*[F.col(c) for c in group], F.col("_salt")), [*group, "_salt"]).drop("_salt", "rank"), group)
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias(N_ROWS))
+    heavy = counts.where(F.col(N_ROWS) > heavy_rows).select(*[F.col(c).alias(f"{PREFIX}g{i}") for i, c in enumerate(group)], F.lit(True).alias(HOT))
+    same = [F.col(c).eqNullSafe(F.col(f"{PREFIX}g{i}")) for i, c in enumerate(group)]
+    marked = df.join(heavy, same, "left").drop(*[f"{PREFIX}g{i}" for i in range(len(group))])
+    cold = best(marked.where(F.col(HOT).isNull()).drop(HOT), group)
+    salted = marked.where(F.col(HOT)).drop(HOT).withColumn(SALT, F.pmod(F.xxhash64(*tie), F.lit(salts)))
+    hot = best(best(salted.repartitionByRange(*[F.col(c) for c in group], F.col(SALT)), [*group, SALT]).drop(SALT, "rank"), group)
     return cold.unionByName(hot)
 
 
