@@ -41,6 +41,7 @@ def test_query(spark, name):
         ("Old.Grey.Harbor.III.1994.1080p.WEB-DL.x264-ABC", ("old grey harbor", 3, 1994, None)),
         ("[GRP]_Old_Harbor_-_07v2_[480p][FA16A041].mkv", ("old harbor", 1, None, "anime")),
         ("1995 S02 - The Old Harbor [WEBRip, HEVC]", ("old harbor", 1, 1995, "series")),
+        ("S03E07 - The Old Harbor [WEBRip, HEVC]", ("old harbor", 1, None, "series")),
         ("óld_hárbor_2x10_hdtv", ("old harbor", 1, None, "series")),
         ("[ grp.example ] - Old & the Harbor 1985 480p AV1", ("old harbor", 1, 1985, None)),
         ("42c17eb6d35d08df7f552f68e994a783", (None, None, None, None)),
