@@ -48,6 +48,13 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
+    """df in at least `per_core` partitions for each core, for operators that spend seconds on each megabyte. Only an input of
+    fewer partitions is moved, which is a small one; a large input stays where it was read."""
+    wanted = per_core * df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Written once as a table in the shared folder and read back: what follows no longer depends on the executors that
     computed it, and its plan knows the table's true size."""
