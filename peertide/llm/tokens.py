@@ -17,6 +17,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peertide.session import spread
+
 #: Where the vocabulary lies unless the caller says otherwise.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pattern that splits text before the merges.
@@ -209,7 +211,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
                 yield flush()
         yield flush()
 
-    part = docs.select(text).where(f"{text} is not null").mapInArrow(run, "word string, n bigint")
+    part = spread(docs.select(text).where(f"{text} is not null")).mapInArrow(run, "word string, n bigint")
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -260,4 +262,4 @@ def encode_texts(
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], [doc_id, "ids"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).mapInArrow(run, f"{doc_id} {kind}, ids array<int>")
+    return spread(docs.select(doc_id, text)).mapInArrow(run, f"{doc_id} {kind}, ids array<int>")
