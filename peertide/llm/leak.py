@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from peertide.session import spread
+
 _TAG = re.compile(r"<!--.*?-->|</?[a-zA-Z][^<>]*>", re.S)
 _INLINE = re.compile(r"</?(?:a|abbr|b|big|code|del|em|font|i|ins|kbd|mark|s|small|span|strike|strong|sub|sup|tt|u|wbr)\b[^<>]*>", re.I)
 _UNSEEN = re.compile("[­​-‏⁠﻿]")
@@ -271,4 +273,4 @@ def _search(docs, part, doc_id, item_id, text, window, max_edits, tables, sample
                 [doc_id, item_id, "edits", "longest_run"],
             )
 
-    return docs.select(doc_id, text).where(f"{text} is not null").mapInArrow(run, schema)
+    return spread(docs.select(doc_id, text).where(f"{text} is not null")).mapInArrow(run, schema)
