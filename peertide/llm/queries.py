@@ -142,7 +142,28 @@ def _level(level: str, group: str, day: str, country: str) -> str:
     return _LEVEL.format(level=level, group=group, day=day, country=country, known=known, est=f"({_EST})", err=f"({_ERR})")
 
 
+_Z = "1.959964::double"
+
+
+def _part(name: str, x: str) -> str:
+    p, zz = f"({x}::double / n)", f"({_Z} * {_Z})"
+    mid = f"(({p} + {zz} / (2 * n::double)) / (1 + {zz} / n::double))"
+    half = f"({_Z} * sqrt({p} * (1 - {p}) / n::double + {zz} / (4 * n::double * n::double)) / (1 + {zz} / n::double))"
+    wilson = [f"(case when top is null then {p} else {mid} {sign} {half} end)" for sign in "-+"]
+    return f"u * {x} / n as {name}_est, u * (1 - rel) * {wilson[0]} as {name}_lower, u * (1 + rel) * {wilson[1]} as {name}_upper"
+
+
+_DAY_TO_DAY = f"""with p as (select last_seen as obs_date, {_COUNTRY} as country, ('0x' || substr(md5(ip), 1, 15))::bigint as h from peers where {_OBSERVER}),
+base as (select distinct obs_date, country, h from (select *, dense_rank() over (partition by obs_date, country order by h) as r from p) where r <= 1024 and obs_date is not null and country is not null),
+two as (select obs_date, country, h, 1 as a, 0 as b from base union all select obs_date + 1, country, h, 0, 1 from base),
+th as (select obs_date, country, least(case when sum(a) >= 1024 then max(case when a = 1 then h end) end, case when sum(b) >= 1024 then max(case when b = 1 then h end) end) as top from two group by 1, 2),
+o as (select obs_date, country, h, max(a) as a, max(b) as b from two group by 1, 2, 3),
+s as (select obs_date, country, count(*) as n, sum(a * b) as nb, sum(a * (1 - b)) as nl, sum((1 - a) * b) as nr, max(top) as top from o join th using (obs_date, country) where top is null or h <= top group by 1, 2),
+u as (select *, case when top is null then n::double else greatest(n - 1, 0) / ((top + 1) / 1152921504606846976.0::double) end as u,
+  case when top is null then 0.0::double else {_Z} / sqrt(greatest(n - 2, 1)::double) end as rel from s)
+select obs_date, country, n as sample, u as union_est, u * (1 - rel) as union_lower, u * (1 + rel) as union_upper, {_part("both", "nb")}, {_part("left", "nl")}, {_part("right", "nr")} from u"""
 ORACLE = {
+    "p5_day_to_day": _DAY_TO_DAY,
     "p5_distinct": f"""with b as ({_BEST}), p as (select last_seen as obs_date, {_COUNTRY} as country, ('0x' || substr(md5(ip), 1, 15))::bigint as h
   from peers where {_OBSERVER})
 """
