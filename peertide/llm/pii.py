@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peertide.llm import pii_forms as forms
+from peertide.session import spread
 
 KINDS = forms.KINDS
 #: Tags: 0 outside, 1 + 2k begins a span of kind k, 2 + 2k continues it.
@@ -106,6 +107,27 @@ class Tagger:
         e += self.w["bo"]
         return e.reshape(t, n, TAGS).transpose(1, 0, 2)
 
+    def surely_outside(self, e: np.ndarray, lean: float) -> np.ndarray:
+        """Windows whose best path is certainly all outside: no span of any kind from any position on scores more than tag 0 over
+        the same characters, even with the best gain of a transition at each of its ends and characters."""
+        gain = 2 * max(0.0, float((self.w["move"] + self.barred - self.w["move"][0, 0]).max()))
+        begin = e[:, :, 1::2] - e[:, :, :1] + (lean + gain)
+        inside = np.ascontiguousarray((e[:, :, 2::2] - e[:, :, :1] + gain).transpose(1, 0, 2))
+        best = begin.transpose(1, 0, 2).copy()
+        rest = np.zeros_like(inside[0])
+        for t in range(e.shape[1] - 1, 0, -1):
+            rest = np.maximum(inside[t] + rest, 0)
+            best[t - 1] += rest
+        return (best <= 0).all(axis=(0, 2))
+
+    def decode(self, e: np.ndarray, size: np.ndarray, lean: float = 0.0) -> np.ndarray:
+        """As viterbi, which only runs where it may find something."""
+        open_ = ~self.surely_outside(e, lean)
+        tags = np.zeros(e.shape[:2], np.uint8)
+        if open_.any():
+            tags[open_] = self.viterbi(e[open_], size[open_], lean)
+        return tags
+
     def viterbi(self, e: np.ndarray, size: np.ndarray, lean: float = 0.0) -> np.ndarray:
         """Best tags of n windows; positions from size on are outside. `lean` is added once per span, for recall."""
         n, t, _ = e.shape
@@ -189,7 +211,7 @@ def find_personal(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     CRF, spans of overlapping windows are reconciled over the document, and each surviving span is checked against the
     written form of its kind, which also fixes its exact ends. The form alone gives no row.
 
-    One pass, no shuffle. The model is one small file sent to the executors. Null, empty and blank texts give no rows; very long
+    One pass; texts are moved only where there are fewer partitions than cores (see spread). The model is one small file sent to the executors. Null, empty and blank texts give no rows; very long
     texts are tagged in as many windows as they need; repeated documents each report; null ids are kept.
     """
     spark = docs.sparkSession
@@ -203,7 +225,7 @@ def find_personal(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         for r, (_, _, c) in enumerate(parts):
             codes[r, : len(c)] = c
         size = np.array([len(c) for _, _, c in parts])
-        tags = tagger.viterbi(tagger.emissions(codes), size, lean)
+        tags = tagger.decode(tagger.emissions(codes), size, lean)
         for r, s, e, k in spans_of(tags):
             d, at, c = parts[r]
             left = s if at else WINDOW
@@ -243,7 +265,7 @@ def find_personal(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
                 )
 
     id_kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).where(f"{text} is not null").mapInArrow(run, f"{doc_id} {id_kind}, start int, end int, kind string, value string")
+    return spread(docs.select(doc_id, text).where(f"{text} is not null")).mapInArrow(run, f"{doc_id} {id_kind}, start int, end int, kind string, value string")
 
 
 def redact(docs: DataFrame, spans: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
