@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from peertide.operators import quality, series, sketches
@@ -27,9 +27,7 @@ def win01_dod_delta(spark, d):
 def win02_previous_total(spark, d):
     """Total per day and the total of the previous day that exists: a window over one row per day."""
     t = daily(spark, d).groupBy("date").agg(F.sum("value").alias("total"))
-    prev = t.select(F.col("date").alias("p_date"), F.col("total").alias("p_total"))
-    before = t.select("date").join(prev, F.col("p_date") < F.col("date")).groupBy("date").agg(F.max(F.struct("p_date", "p_total")).alias("m"))
-    return t.join(before, "date", "left").select("date", "total", F.col("m.p_total").alias("previous"))
+    return t.withColumn("previous", F.lag("total").over(Window.orderBy("date")))  # one row per calendar day
 
 
 def win03_dense_series(spark, d):
@@ -60,8 +58,6 @@ def win07_wow(spark, d):
 
 def win09_topn(spark, d):
     """The ten largest titles of each category on each date."""
-    from pyspark.sql import Window
-
     w = weekly(spark, d).groupBy("date", "category", "ip_id").agg(F.sum("ip_count").alias("total"))
     rank = F.row_number().over(Window.partitionBy("date", "category").orderBy(F.desc("total"), "ip_id"))
     return w.withColumn("rank", rank).where("rank <= 10")
@@ -111,10 +107,10 @@ def dq09_health(spark, d):
 
 
 def skt01_or_merge(spark, d):
-    """Bloom filters of each source, united (filters made of MD5 digests stand in for measured ones)."""
+    """Bloom filters of each title's hashes, united (filters made of MD5 digests stand in for measured ones)."""
     f = F.unhex(F.repeat(F.concat(F.md5("hash"), F.md5(F.concat("hash", F.lit("x")))), 8))
-    h = table(spark, d, "hashes").where("seeders > 500").select("source", f.alias("f"))
-    return h.groupBy("source").agg(F.call_function("bitmap_count", sketches.merged(F.col("f"))).alias("bits_set"))
+    h = bridge(spark, d).where("ip_id is not null").select("ip_id", f.alias("f"))
+    return h.groupBy("ip_id").agg(F.call_function("bitmap_count", sketches.merged(F.col("f"))).alias("bits_set"))
 
 
 def skt02_estimate(spark, d):
@@ -157,7 +153,7 @@ ORACLE = {
   select case when last >= {_D} - 7 then 'alive' when last is not null then 'dead' else 'never' end as sign, count(*) as n from bridge left join l using (hash) group by 1""",
     "dq09_health": f"""with {OBS} select 'rows_today' as name, count(*)::varchar as value, count(*) >= 100 as ok from obs where last_seen = {_D}
   union all select 'newest', max(last_seen)::varchar, max(last_seen) >= {_D} from obs union all select 'undated', count(*)::varchar, count(*) = 0 from obs where last_seen is null""",
-    "skt01_or_merge": """select source, bit_count(bit_or(from_hex(repeat(md5(hash) || md5(hash || 'x'), 8))::bit)) as bits_set from hashes where seeders > 500 group by 1""",
+    "skt01_or_merge": f"""with {BRIDGE} select ip_id, bit_count(bit_or(from_hex(repeat(md5(hash) || md5(hash || 'x'), 8))::bit)) as bits_set from bridge where ip_id is not null group by 1""",
     "skt02_estimate": f"""with {BRIDGE}, s as (select hash, least(seeders, 256) * 8 as b from bridge where seeders is not null)
   select hash, case when b >= 2048 then 50000 when b <= 0 then 0 else floor(ln((2048 - b) / 2048.0::double) / (2 * ln(1 - 1 / 2048.0::double)))::int end as members from s""",
 }
