@@ -19,7 +19,7 @@ KINDS = forms.KINDS
 #: Tags: 0 outside, 1 + 2k begins a span of kind k, 2 + 2k continues it.
 TAGS = 1 + 2 * len(KINDS)
 #: Characters of a window and the step between windows; spans up to WINDOW - STEP characters lie whole in some window.
-WINDOW, STEP = 256, 176
+WINDOW, STEP = 512, 432
 #: Windows decoded at once; bounds what a task holds.
 BATCH = 512
 MODEL = os.path.join(os.path.dirname(__file__), "pii_model.npz")
