@@ -33,41 +33,42 @@ def words(text: str | None) -> list[str]:
 
 
 class Embedding:
-    """CGK random walks over windows of symbols, and tables of sampled positions.
+    """CGK random walks over windows of symbols, each with one sample of its positions.
 
-    A window of w symbols is copied to 3w positions; at each position a random bit of (position, symbol) says whether the
-    walk moves on. Windows within edit distance e end within Hamming distance O(e^2) with constant probability, equal windows
-    always coincide; `tables` samples of `sampled` positions raise the chance that a near window meets in one of them.
+    A walk copies a window of w symbols to 3w positions; at each position a random bit of (position, symbol) says whether it moves
+    on. Windows within edit distance e end within Hamming distance O(e^2) with constant probability, equal windows always
+    coincide. Every table has a walk of its own: a near window that one walk tears apart may still meet in the next. Positions are
+    sampled from the first 2w, since later ones mostly hold padding, which tells nothing.
     """
 
     def __init__(self, window: int, symbols: int, tables: int, sampled: int, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.window, self.steps, self.tables = window, 3 * window, tables
-        self.moves = rng.integers(0, 2, (self.steps, symbols + 2), dtype=np.int8)
-        self.at = np.sort(np.array([rng.permutation(self.steps)[:sampled] for _ in range(tables)]), axis=1)
+        self.window, self.tables = window, tables
+        self.moves = rng.integers(0, 2, (tables, 2 * window, symbols + 2), dtype=np.int8)
+        self.at = np.sort(np.array([rng.permutation(2 * window)[:sampled] for _ in range(tables)]), axis=1)
         self.mix = rng.integers(1, 1 << 62, (tables, sampled), dtype=np.int64) | 1
 
     def keys(self, w: np.ndarray) -> np.ndarray:
         """(tables, n) hash values of n windows of symbol numbers >= 1; 0 pads."""
         n = len(w)
         padded = np.concatenate((w, np.zeros((n, 1), w.dtype)), axis=1)
-        out = np.empty((self.steps, n), np.int64)
-        at, rows = np.zeros(n, np.int64), np.arange(n)
-        for j in range(self.steps):
-            out[j] = padded[rows, at]
-            at = np.minimum(at + self.moves[j, out[j]], self.window)
+        rows = np.arange(n)
+        keys = np.empty((self.tables, n), np.int64)
         with np.errstate(over="ignore"):
-            keys = np.empty((self.tables, n), np.int64)
             for t in range(self.tables):
-                h = np.full(n, t + 1, np.int64)
-                for m, p in zip(self.mix[t], self.at[t], strict=True):
-                    h = (h ^ (out[p] * m)) * np.int64(-7046029254386353131)
-                    h ^= h >> 29
+                at, h = np.zeros(n, np.int64), np.full(n, t + 1, np.int64)
+                mix = dict(zip(self.at[t].tolist(), self.mix[t], strict=True))
+                for j in range(int(self.at[t][-1]) + 1):
+                    symbol = padded[rows, at]
+                    if j in mix:
+                        h = (h ^ (symbol * mix[j])) * np.int64(-7046029254386353131)
+                        h ^= h >> 29
+                    at = np.minimum(at + self.moves[t, j, symbol], self.window)
                 keys[t] = h
         return keys
 
 
-def recall_of(window: int, edits: int, tables: int, sampled: int, trials: int = 400) -> float:
+def recall_of(window: int, edits: int, tables: int, sampled: int, trials: int = 2000) -> float:
     """Measured share of windows at the given number of word edits that meet in some table."""
     rng = np.random.default_rng(3)
     symbols = 2000
@@ -89,10 +90,12 @@ def recall_of(window: int, edits: int, tables: int, sampled: int, trials: int =
 
 
 def tables_for(window: int, edits: int, recall: float, sampled: int) -> int:
-    """The fewest tables, in powers of two up to 64, whose measured recall reaches the target."""
-    n = 1
-    while edits and n < 64 and recall_of(window, edits, n, sampled) < recall:
-        n *= 2
+    """The fewest tables, up to 128, whose measured recall reaches the target; one for equal windows only."""
+    if not edits:
+        return 1
+    n = 4
+    while n < 128 and recall_of(window, edits, n, sampled) < recall:
+        n += max(1, n // 4)
     return n
 
 
@@ -148,8 +151,8 @@ def leaks(
     text: str = "text",
     window: int = 12,
     max_edits: int = 1,
-    recall: float = 0.9,
-    sampled: int = 6,
+    recall: float = 0.95,
+    sampled: int = 7,
     block: int = 4096,
 ) -> DataFrame:
     """(doc_id, item_id, edits, longest_run): documents with a window of `window` words within `max_edits` word edits of a

@@ -240,7 +240,8 @@ def test_leaks(spark):
     for block in (4096, 7):
         got = leak.leaks(dd, ii, block=block).where("longest_run >= 12").collect()
         assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
-    assert leak.recall_of(12, 0, 1, 6) == 1.0
+    assert leak.recall_of(12, 0, 1, 6) == 1.0 and leak.tables_for(12, 0, 0.95, 7) == 1
+    assert leak.recall_of(12, 1, leak.tables_for(12, 1, 0.95, 7), 7) >= 0.95
     assert leak.leaks(dd.limit(0), ii).count() == 0
 
 
