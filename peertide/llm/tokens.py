@@ -5,10 +5,11 @@ from __future__ import annotations
 import base64
 import heapq
 import os
+import re
 import tempfile
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,29 @@ MEMO = 300_000
 COUNTED = 500_000
 
 
-def splitter() -> regex.Pattern:
+def splitter() -> Callable[[str], list[str]]:
+    """A function that cuts a text into the words of PATTERN.
+
+    The standard library's expressions run twice as fast as those that know Unicode properties and mean the same by letters,
+    decimal digits and white space. Texts with a character on which they differ (numbers that are no decimals, the four
+    separators that only Python takes for white space) go the exact way.
+    """
     # \p{White_Space} is what the vocabulary's own library means by \s
-    return regex.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+    exact = regex.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+    fast = re.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]+", r"(?:[^\s\w]+|_+)+").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")).findall
+    alike: set[str] = set()
+
+    def split(text: str) -> list[str]:
+        new = set(text) - alike
+        if new:
+            # letters are letters in both, also those that count as numbers; marks are neither
+            good = {c for c in new if c not in "\x1c\x1d\x1e\x1f" and (c.isalpha() or c.isdecimal() or not c.isalnum())}
+            alike.update(good)
+            if len(good) < len(new):
+                return exact(text)
+        return fast(text)
+
+    return split
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -206,7 +227,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
             for t in b.column(0):
                 s = t.as_py()
                 if s:
-                    c.update(split.findall(s))
+                    c.update(split(s))
             if len(c) > COUNTED:
                 yield flush()
         yield flush()
@@ -240,7 +261,7 @@ def encode_texts(
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             state.update(lex=Lexicon.load(SparkFiles.get(name)), ranks=read_ranks(SparkFiles.get(vocabulary_name)), split=splitter(), memo={})
-        lex, ranks, memo, split = state["lex"], state["ranks"], state["memo"], state["split"].findall
+        lex, ranks, memo, split = state["lex"], state["ranks"], state["memo"], state["split"]
         for b in it:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
