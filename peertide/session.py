@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         set_to = sc.getConf().get("spark.checkpoint.dir")
         if not set_to:
-            if not sc.master.startswith("local["):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             set_to = tempfile.mkdtemp(prefix="peertide-")
         sc.setCheckpointDir(set_to)
