@@ -153,3 +153,42 @@ def name_guard(name: Column, title: Column, *, year_gap: int = 1, name_year: Col
 
 def organisation_is_datacenter(org: Column, keywords: tuple[str, ...] = ("hosting", "server", "cloud", "datacenter", "vpn")) -> Column:
     return F.coalesce(F.lower(org).rlike("|".join(keywords)), F.lit(False))
+
+
+def clean_release(name: Column) -> Column:
+    """A release name up to its first quality, episode or year mark, separators as blanks."""
+    s = F.regexp_replace(F.lower(name), r"[._]+", " ")
+    s = F.regexp_replace(s, r"^\s*\[[^\]]*\]\s*(-\s*)?", "")
+    s = F.regexp_replace(s, r"(\(|\[|\b(19|20)[0-9]{2}\b|\bs[0-9]{2}|\b[0-9]+x[0-9]{2}|\bseason\b|\bepisode\b|\b[0-9]{3,4}p\b).*$", "")
+    return F.trim(F.regexp_replace(s, r"\s+", " "))
+
+
+def has_letters(words_: Column) -> Column:
+    """Whether any word is not a number."""
+    return F.exists(words_, lambda x: ~x.rlike("^[0-9]+$"))
+
+
+def degraded(words_: Column) -> Column:
+    """Whether a word of fifteen or more characters holds a digit: a name that was not cut well."""
+    return F.exists(words_, lambda x: (F.length(x) >= 15) & x.rlike("[0-9]"))
+
+
+def ambiguous(title: Column) -> Column:
+    """Whether a title alone says too little: at most three characters, or nothing but stop words."""
+    w = words(title)
+    return (F.length(F.trim(title)) <= 3) | (F.size(F.filter(w, lambda x: ~x.isin(*STOP_WORDS))) == 0)
+
+
+def id_family(id_: Column) -> Column:
+    """Kind of work an id belongs to by its prefix, null for other ids."""
+    f = F.split_part(F.lower(id_), F.lit("-"), F.lit(1))
+    return F.when(f.isin("film", "series", "anime"), f)
+
+
+def category_of_numbers(numbers: Column) -> Column:
+    """Category by the number ranges of an indexer: anime numbers first, then 2000 to 2999 films, 5000 to 5999 series."""
+    return (
+        F.when(F.exists(numbers, lambda x: x.isin(5070, 2070)), "Anime")
+        .when(F.exists(numbers, lambda x: x.between(2000, 2999)), "Movies")
+        .when(F.exists(numbers, lambda x: x.between(5000, 5999)), "Series")
+    )

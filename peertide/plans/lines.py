@@ -6,6 +6,7 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from peertide.functions import text
+from peertide.operators import quality
 from peertide.plans.common import AS_OF, BRIDGE, DAILY, OBS, WEEKLY, bridge, daily, observations, weekly
 from peertide.session import table
 
@@ -247,7 +248,71 @@ def dq04_hint(spark, d):
     return g.where("n >= 4 and names <= 2")
 
 
-QUERIES = {k: f for k, f in globals().items() if k[:3] in ("prj", "flt", "agg", "win", "srt", "set", "fn_", "er1", "dq0") and callable(f)}
+def fn_s04_clean(spark, d):
+    return table(spark, d, "hashes").where("raw_name is not null").select("raw_name", text.clean_release(F.col("raw_name")).alias("name")).distinct()
+
+
+def fn_s12_word_checks(spark, d):
+    """Names without letters and names that were not cut well, per category."""
+    w = text.words(F.col("raw_name"))
+    b = bridge(spark, d).where("raw_name is not null").select("category", text.has_letters(w).alias("letters"), text.degraded(w).alias("degraded"))
+    return b.groupBy("category").agg(F.count_if("letters").alias("n_letters"), F.count_if("degraded").alias("n_degraded"))
+
+
+def fn_s16_ambiguous(spark, d):
+    return table(spark, d, "catalog_info").where("ip is not null").groupBy(text.ambiguous(F.col("ip")).alias("ambiguous")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fn_s21_family(spark, d):
+    """Hashes whose id and category name different kinds of work."""
+    fam = text.id_family(F.col("ip_id"))
+    kind = F.when(F.col("category") == "Movies", "film").when(F.col("category") == "Series", "series").when(F.col("category") == "Anime", "anime")
+    return bridge(spark, d).groupBy(fam.alias("family"), kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fn_s23_country_label(spark, d):
+    """Countries with a label from a dimension table, their code where it has none (nations stand in for the dimension)."""
+    labels = table(spark, d, "nation").select(F.upper(F.substring("n_name", 1, 2)).alias("code"), "n_name").groupBy("code").agg(F.min("n_name").alias("label"))
+    c = weekly(spark, d).groupBy("country").agg(F.sum("ip_count").alias("total"))
+    return c.join(labels, F.col("country") == F.col("code"), "left").select("country", F.coalesce("label", "country").alias("label"), "total")
+
+
+def fn_s30_format(spark, d):
+    """Counts as text with thousands marked."""
+    return weekly(spark, d).groupBy("date").agg(F.format_number(F.sum("ip_count"), 0).alias("total"))
+
+
+def dq03_in_top(spark, d):
+    """Decoy titles among the hundred largest of the day."""
+    top = weekly(spark, d).where(F.col("date") == _day()).groupBy("ip_id").agg(F.sum("ip_count").alias("total")).orderBy(F.desc("total"), "ip_id").limit(100)
+    return quality.decoys(bridge(spark, d), "ip_id", "raw_name").select("ip_id").join(top.select("ip_id"), "ip_id", "left_semi")
+
+
+def er13_reverse(spark, d):
+    """Catalogue entries that share a rare word with a title and cover it both ways: half of the title, three tenths of the entry."""
+    t = bridge(spark, d).where("title is not null").select("title").distinct().withColumn("t", text.words(F.col("title")))
+    c = table(spark, d, "catalog_info").where("ip is not null").select("ip_id", text.words(F.col("ip")).alias("c"))
+    long = lambda x: F.filter(x, lambda w: F.length(w) >= 8)
+    pair = t.withColumn("w", F.explode(long(F.col("t")))).join(c.withColumn("w", F.explode(long(F.col("c")))), "w").drop("w").distinct()
+    n = F.size(F.array_intersect("t", "c"))
+    return pair.where((n / F.size("t") >= 0.5) & (n / F.size("c") >= 0.3)).select("title", "ip_id")
+
+
+def er09_reason(spark, d):
+    """Why a hash got no title: the first reason that holds, in order."""
+    n = F.lower("raw_name")
+    reason = (
+        F.when(F.col("raw_name").isNull(), "no name")
+        .when(n.rlike("collection|discography|files pack"), "collection")
+        .when(n.rlike("^[0-9a-f]{32,40}$"), "hash for a name")
+        .when(F.col("title").isNull() & text.first_year(F.col("raw_name")).isNull(), "no title and no year")
+        .when(F.col("title").isNull(), "no title")
+        .when(F.col("ip_id").isNull(), "no id")
+    )
+    return bridge(spark, d).groupBy(F.coalesce(reason, F.lit("matched")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES = {k: f for k, f in globals().items() if k[:3] in ("prj", "flt", "agg", "win", "srt", "set", "fn_", "er0", "er1", "dq0") and callable(f)}
 
 _D = f"date '{AS_OF}'"
 _IM = r"case when regexp_extract(lower(coalesce(imdb_id, '')), '^\s*(?:tt)?0*([1-9][0-9]{5,})\s*$', 1) <> '' then 'tt' || lpad(regexp_extract(lower(coalesce(imdb_id, '')), '^\s*(?:tt)?0*([1-9][0-9]{5,})\s*$', 1), greatest(7, length(regexp_extract(lower(coalesce(imdb_id, '')), '^\s*(?:tt)?0*([1-9][0-9]{5,})\s*$', 1)))::int, '0') end"
@@ -307,4 +372,24 @@ ORACLE = {
   select title, ip_id, 1 as pass from o union all select title, ip_id, 2 from t join k on k.k = array_to_string(list_sort({_WORDS.format(c="title")}), ' ') where title not in (select title from o)""",
     "dq04_hint": f"""with {BRIDGE}, r as (select *, row_number() over (partition by ip_id order by seeders desc nulls last, hash) as rn from bridge where ip_id is not null and raw_name is not null)
   select ip_id, count(*) as n, count(distinct lower(raw_name)) as names from r where rn <= 12 group by 1 having count(*) >= 4 and count(distinct lower(raw_name)) <= 2""",
+    "fn_s04_clean": r"""select distinct raw_name, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(raw_name), '[._]+', ' ', 'g'), '^\s*\[[^\]]*\]\s*(-\s*)?', ''),
+  '(\(|\[|\b(19|20)[0-9]{2}\b|\bs[0-9]{2}|\b[0-9]+x[0-9]{2}|\bseason\b|\bepisode\b|\b[0-9]{3,4}p\b).*$', ''), '\s+', ' ', 'g')) as name from hashes where raw_name is not null""",
+    "fn_s12_word_checks": f"""with {BRIDGE}, w as (select category, {_WORDS.format(c="raw_name")} as w from bridge where raw_name is not null)
+  select category, count(*) filter (len(list_filter(w, lambda x: not regexp_full_match(x, '[0-9]+'))) > 0) as n_letters,
+  count(*) filter (len(list_filter(w, lambda x: length(x) >= 15 and regexp_matches(x, '[0-9]'))) > 0) as n_degraded from w group by 1""",
+    "fn_s16_ambiguous": f"""select length(trim(ip)) <= 3 or len(list_filter({_WORDS.format(c="ip")}, lambda x: x not in ({", ".join(f"'{w}'" for w in text.STOP_WORDS)}))) = 0 as ambiguous, count(*) as n
+  from catalog_info where ip is not null group by 1""",
+    "fn_s21_family": f"""with {BRIDGE} select case when split_part(ip_id, '-', 1) in ('film', 'series', 'anime') then split_part(ip_id, '-', 1) end as family,
+  case category when 'Movies' then 'film' when 'Series' then 'series' when 'Anime' then 'anime' end as kind, count(*) as n from bridge group by 1, 2""",
+    "fn_s23_country_label": f"""with {WEEKLY}, l as (select upper(n_name[1:2]) as code, min(n_name) as label from nation group by 1)
+  select country, coalesce(label, country) as label, total from (select country, sum(ip_count)::bigint as total from weekly group by 1) left join l on code = country""",
+    "fn_s30_format": f"with {WEEKLY} select date, format('{{:,}}', sum(ip_count)::bigint) as total from weekly group by 1",
+    "dq03_in_top": f"""with {BRIDGE}, {WEEKLY}, n as (select ip_id, raw_name, count(*) as n from bridge where ip_id is not null and raw_name is not null group by 1, 2),
+  g as (select ip_id from n group by 1 having sum(n) >= 5 and max(n) >= 4 and count(*) / sum(n) < 0.5)
+  select ip_id from g where ip_id in (select ip_id from (select ip_id, sum(ip_count) as total from weekly where date = {_D} group by 1 order by total desc, ip_id limit 100))""",
+    "er13_reverse": f"""with {BRIDGE}, t as (select title, {_WORDS.format(c="title")} as t from (select distinct title from bridge where title is not null)), c as (select ip_id, {_WORDS.format(c="ip")} as c from catalog_info where ip is not null)
+  select title, ip_id from t, c where len(list_filter(list_intersect(t, c), lambda x: length(x) >= 8)) > 0 and len(list_intersect(t, c)) / len(t) >= 0.5 and len(list_intersect(t, c)) / len(c) >= 0.3""",
+    "er09_reason": f"""with {BRIDGE} select case when raw_name is null then 'no name' when regexp_matches(lower(raw_name), 'collection|discography|files pack') then 'collection'
+  when regexp_matches(lower(raw_name), '^[0-9a-f]{{32,40}}$') then 'hash for a name' when title is null and {_YEAR} is null then 'no title and no year' when title is null then 'no title' when ip_id is null then 'no id'
+  else 'matched' end as reason, count(*) as n from bridge group by 1""",
 }

@@ -127,3 +127,8 @@ def encoded(x) -> bytes:
 @given(_VALUE)
 def test_bencode_round_trip(x):
     assert feeds.bencode(encoded(x)) == x
+
+
+def test_category_of_numbers(spark):
+    df = spark.createDataFrame([([2045],), ([5070, 2000],), ([5030, 8000],), ([8000],), ([],)], "n array<int>")
+    assert [r[0] for r in df.select(text.category_of_numbers(F.col("n"))).collect()] == ["Movies", "Anime", "Series", None, None]
