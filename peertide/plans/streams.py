@@ -11,12 +11,13 @@ from peertide.functions.ids import is_observer, norm_country
 from peertide.operators.dedup import latest_view
 from peertide.plans.common import AS_OF, BRIDGE, OBS, bridge, observations
 from peertide.plans.relational import ORACLE as RELATIONAL
-from peertide.session import shared_dir
+from peertide.session import shared_dir, ship
 from peertide.sources import feeds
 from peertide.streaming import announce
 
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
+    ship(spark)
     path = f"{d}/peers.parquet"
     schema = spark.read.parquet(path).schema
     folder = feeds.exists(spark, f"{path}/*.parquet")

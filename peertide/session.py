@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +32,22 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per context: their Python workers then find it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_peertide_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    name = f"{tempfile.mkdtemp(prefix='peertide-')}/peertide-{uuid.uuid4().hex}.zip"  # only where the driver hands it out from
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    sc.addPyFile(name)
+    sc._peertide_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
