@@ -15,6 +15,8 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 #: Words that say nothing about a title.
 STOP_WORDS = ("the", "and", "for", "with", "from", "season", "episode", "complete", "multi")
+#: Words that do not count when titles are compared word by word (articles, prepositions, conjunctions).
+LITTLE_WORDS = ("the", "a", "an", "of", "in", "and", "to", "is", "for", "on", "with", "at", "by", "from", "or")
 #: Technical words of release names.
 TECH_WORDS = ("480p", "720p", "1080p", "2160p", "x264", "x265", "hevc", "xvid", "av1", "web", "webrip", "bdrip", "hdtv", "hdrip", "dvdrip", "bluray", "mkv")
 #: Roman numerals of sequels.
@@ -36,6 +38,13 @@ def words(c: Column) -> Column:
     return F.array_distinct(word_list(c))
 
 
+def content_words(c: Column) -> Column:
+    """The distinct words without little ones; all of them where a title has no others. Short words and numbers stay."""
+    w = words(c)
+    kept = F.filter(w, lambda x: ~x.isin(*LITTLE_WORDS))
+    return F.when(F.size(kept) > 0, kept).otherwise(w)
+
+
 def name_tokens(c: Column) -> Column:
     """Words of a name without stop words and technical words; numbers stay when they may be sequels (2 to 99)."""
     drop = F.array(*[F.lit(w) for w in (*STOP_WORDS, *TECH_WORDS)])

@@ -49,6 +49,20 @@ def contained(names: DataFrame, aliases: DataFrame, frequency: DataFrame) -> Dat
     return posted.where(inside).select("name_id", "alias_id", F.size("alias_words").alias("n_words"))
 
 
+def sharing(left: DataFrame, right: DataFrame, probe: str, listed: str) -> DataFrame:
+    """Pairs of rows whose word sets `probe` and `listed` meet, each pair once: at the first probed word that both have. The pair is
+    settled where it is found, so pairs are not shuffled to make them distinct."""
+    met = left.withColumn("_w", F.explode(probe)).join(right.withColumn("_w", F.explode(listed)), "_w")
+    return met.where(F.array_intersect(probe, listed)[0] == F.col("_w")).drop("_w")
+
+
+def rarest_first(df: DataFrame, key: str, words: str, frequency: DataFrame) -> DataFrame:
+    """df with the words of each row in order of rarity, from frequency(word, n); words that are not in it come first. key is unique."""
+    w = df.select(key, F.explode(words).alias("word")).join(frequency, "word", "left")
+    order = w.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("_o"))
+    return df.join(order.select(key, F.col("_o.word").alias("_o")), key).withColumn(words, F.col("_o")).drop("_o")
+
+
 def latest_before(df: DataFrame, key: list[str], at: str, as_of: Column, payload: list[str]) -> DataFrame:
     """Of each key the newest row not after as_of; rows of one time are settled by their payload."""
     pick = F.max(F.struct(F.col(at), *payload)).alias("m")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from peertide.functions import text
-from peertide.operators import quality
+from peertide.operators import joins, quality
 from peertide.plans.common import AS_OF, BRIDGE, DAILY, OBS, WEEKLY, bridge, daily, observations, weekly
 from peertide.session import table
 
@@ -289,13 +289,16 @@ def dq03_in_top(spark, d):
 
 
 def er13_reverse(spark, d):
-    """Catalogue entries that share a rare word with a title and cover it both ways: half of the title, three tenths of the entry."""
-    t = bridge(spark, d).where("title is not null").select("title").distinct().withColumn("t", text.words(F.col("title")))
-    c = table(spark, d, "catalog_info").where("ip is not null").select("ip_id", text.words(F.col("ip")).alias("c"))
-    long = lambda x: F.filter(x, lambda w: F.length(w) >= 8)
-    pair = t.withColumn("w", F.explode(long(F.col("t")))).join(c.withColumn("w", F.explode(long(F.col("c")))), "w").drop("w").distinct()
-    n = F.size(F.array_intersect("t", "c"))
-    return pair.where((n / F.size("t") >= 0.5) & (n / F.size("c") >= 0.3)).select("title", "ip_id")
+    """Catalogue entries and titles that cover each other's words: half of the title, three tenths of the entry. Little words (the, of)
+    do not count, unless a title has no others. A pair that covers half meets in the rarest words of the title: all but as many as half less one."""
+    t = bridge(spark, d).where("title is not null").select("title").distinct().withColumn("t", text.content_words(F.col("title"))).where("size(t) > 0")
+    c = table(spark, d, "catalog_info").where("ip is not null").select("ip_id", text.words(F.col("ip")).alias("c"), text.content_words(F.col("ip")).alias("k")).distinct()
+    frequency = c.select(F.explode("c").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    t = joins.rarest_first(t, "title", "t", frequency).withColumn("probe", F.expr("slice(t, 1, size(t) - ceil(size(t) / 2) + 1)"))
+    pair = joins.sharing(t, c, "probe", "c")
+    entry = F.when(F.forall("t", lambda x: x.isin(*text.LITTLE_WORDS)), F.col("c")).otherwise(F.col("k"))
+    n = F.size(F.array_intersect(F.col("t"), entry))
+    return pair.where((n / F.size("t") >= 0.5) & (n / F.size(entry) >= 0.3)).select("title", "ip_id")
 
 
 def er09_reason(spark, d):
