@@ -209,9 +209,9 @@ def fn_a02_overlap(spark, d):
 
 
 def fn_j01_json(spark, d):
-    """Records inside documents, parsed."""
-    j = F.regexp_extract("text", r'(\{"ip_id": [^}]*\})', 1)
-    p = table(spark, d, "documents").select("doc_id", F.from_json(j, "ip_id string, year int, seeders long, dc boolean").alias("j")).where("j.ip_id is not null")
+    """All records inside documents, parsed: a row for each record of a text."""
+    j = F.explode(F.regexp_extract_all("text", F.lit(r'(\{"ip_id": [^}]*\})'), F.lit(1)))
+    p = table(spark, d, "documents").select("doc_id", j.alias("j")).select("doc_id", F.from_json("j", "ip_id string, year int, seeders long, dc boolean").alias("j")).where("j.ip_id is not null")
     return p.select("doc_id", "j.ip_id", "j.year", "j.seeders", "j.dc")
 
 

@@ -65,3 +65,11 @@ def test_reverse_brute_force(spark, rows):
             if a and b and len(a & b) * 2 >= len(a) and len(a & b) / len(b) >= 0.3:
                 want.append((i, t))
     assert rows(lines.er13_reverse(spark, D)) == sorted(want, key=str)
+
+
+def test_every_json_record(spark, tables, rows):
+    one, two = '{"ip_id": "film-c1", "year": 1999, "seeders": 5, "dc": true}', '{"ip_id": "film-c2", "year": 2001, "seeders": 7, "dc": false}'
+    d = tables(documents=[{"doc_id": k, "text": x} for k, x in ((1, f"a {one} b\n{two} c {one}"), (2, f"x{two}"), (3, "none"), (4, None))])
+    first, second = (True, "film-c1", 5, 1999), (False, "film-c2", 7, 2001)
+    assert rows(lines.fn_j01_json(spark, d).drop("doc_id")) == sorted([first, first, second, second], key=str)
+    assert [tuple(r) for r in lines.fn_j01_json(spark, d).groupBy("doc_id").count().orderBy("doc_id").collect()] == [(1, 3), (2, 1)]
