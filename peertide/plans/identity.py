@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from peertide.functions import text
-from peertide.operators import identity
+from peertide.operators import identity, similar
 from peertide.plans.common import BRIDGE, bridge, weekly
 from peertide.session import table
 
@@ -52,12 +52,11 @@ def er03_apply_canon(spark, d):
 
 
 def er07_fuzzy(spark, d):
-    """Title spellings of one hash title against the catalogue by sequence similarity, among entries that share its first word."""
-    first = lambda c: F.element_at(F.split(c, " "), 1)
+    """Title spellings of one hash title against the catalogue by sequence similarity: every pair of ratio 0.82 or more."""
     a = bridge(spark, d).where("title is not null").select(text.squash(text.fold_accents("title")).alias("title")).distinct()
     b = table(spark, d, "catalog_info").where("ip is not null").select("ip_id", text.squash(text.fold_accents("ip")).alias("name"))
-    j = a.withColumn("w", first(F.col("title"))).join(b.withColumn("w", first(F.col("name"))), "w")
-    return j.withColumn("ratio", F.round(text.sequence_ratio("title", "name"), 6)).where("ratio >= 0.82").select("title", "ip_id", "ratio")
+    pairs = similar.similar_pairs(a, b, "title", "ip_id", "name", least=0.82 - 1e-6)
+    return pairs.withColumn("ratio", F.round("ratio", 6)).where("ratio >= 0.82").select("title", "ip_id", "ratio")
 
 
 def er06_name_guard(spark, d):

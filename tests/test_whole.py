@@ -1,13 +1,18 @@
 """Queries do the whole job: against plain Python on the test tables, and on cases that an earlier version lost."""
 
+import difflib
 import os
 import re
+import unicodedata
+from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from peertide.functions import text
-from peertide.plans import lines
+from peertide.operators.similar import compared
+from peertide.plans import identity, lines
 
 D = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
@@ -73,3 +78,23 @@ def test_every_json_record(spark, tables, rows):
     first, second = (True, "film-c1", 5, 1999), (False, "film-c2", 7, 2001)
     assert rows(lines.fn_j01_json(spark, d).drop("doc_id")) == sorted([first, first, second, second], key=str)
     assert [tuple(r) for r in lines.fn_j01_json(spark, d).groupBy("doc_id").count().orderBy("doc_id").collect()] == [(1, 3), (2, 1)]
+
+
+def test_fuzzy_first_word(spark, tables):
+    d = tables(hashes("A Candle for Rirenavax", "Gaoegask Carnival", "Brittle Island of Karimo"), catalog("Candle for Rirenavax, A", "Gakegask Carnival", "The Brittle Island of Karimo", "Another One"))
+    got = {(r.title, r.ip_id) for r in identity.er07_fuzzy(spark, d).collect()}
+    assert got == {("a candle for rirenavax", "film-c0"), ("gaoegask carnival", "film-c1"), ("brittle island of karimo", "film-c2")}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab c", max_size=12), max_size=12), st.lists(st.text("ab c", max_size=12), max_size=12))
+def test_compared_loses_nothing(left, right):
+    want = {(i, j) for i, a in enumerate(left) for j, b in enumerate(right) if difflib.SequenceMatcher(None, a, b).ratio() >= 0.82}
+    assert {(i, j) for i, j, _ in compared(left, right, 0.82)} == want
+
+
+def test_fuzzy_brute_force(spark):
+    fold = lambda s: re.sub(r"\s+", " ", "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)).lower()).strip()
+    titles, entries = both(spark)
+    want = Counter((a, i, round(r, 6)) for a in {fold(t) for t in titles} for i, n in entries if (r := difflib.SequenceMatcher(None, a, fold(n)).ratio()) >= 0.82)
+    assert Counter((r.title, r.ip_id, r.ratio) for r in identity.er07_fuzzy(spark, D).collect()) == want
