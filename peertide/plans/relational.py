@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from peertide.functions import text
 from peertide.operators import dedup, joins
 from peertide.operators.demand import tagged_union
 from peertide.plans.common import AS_OF, BRIDGE, DAILY, OBS, WEEKLY, bridge, daily, observations, weekly
@@ -98,13 +99,17 @@ def jn13_scalar_subq(spark, d):
 
 
 def jn14_token_block(spark, d):
-    """Catalogue entries that share at least two longer words with a title, by an inverted index."""
-    def words(df, key, text):
-        return df.select(key, F.explode(F.array_distinct(F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: F.length(x) > 3))).alias("w"))
-
-    a = words(bridge(spark, d).where("ip_id is not null and title is not null").select("ip_id", "title").distinct(), "ip_id", "title").distinct()
-    b = words(table(spark, d, "catalog_info").select(F.col("ip_id").alias("catalog_id"), "ip"), "catalog_id", "ip")
-    return a.join(b, "w").groupBy("ip_id", "catalog_id").agg(F.count(F.lit(1)).alias("n_common")).where("n_common >= 2")
+    """Catalogue entries that share half of a title's words (rounded down, at least one) with it, by an inverted index; where no entry
+    does, those that share any. Little words (the, of) do not count, unless a title has no others. Of several titles of one id the best counts."""
+    a = bridge(spark, d).where("ip_id is not null and title is not null").select("ip_id", text.content_words(F.col("title")).alias("t")).distinct().where("size(t) > 0")
+    b = table(spark, d, "catalog_info").where("ip is not null").select(F.col("ip_id").alias("catalog_id"), text.words(F.col("ip")).alias("c"))
+    half, n = F.expr("greatest(1, size(t) div 2)"), F.size(F.array_intersect("t", "c")).alias("n")
+    sets = a.select("t").distinct()
+    met = joins.sharing(sets, b, "t", "c").select("t", "catalog_id", n)
+    best = met.where(F.size("t") > 3).groupBy("t").agg(F.max("n").alias("best"))  # up to three words any shared one is enough
+    least = best.where(F.col("best") < half).select("t")
+    hits = met.where(F.col("n") >= half).unionByName(met.join(least, "t"))
+    return a.join(hits, "t").groupBy("ip_id", "catalog_id").agg(F.max("n").cast("bigint").alias("n_common"))
 
 
 def jn15_containment(spark, d):

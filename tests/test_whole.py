@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from peertide.functions import text
 from peertide.operators.similar import compared
-from peertide.plans import identity, lines
+from peertide.plans import identity, lines, relational
 
 D = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
@@ -98,3 +98,23 @@ def test_fuzzy_brute_force(spark):
     titles, entries = both(spark)
     want = Counter((a, i, round(r, 6)) for a in {fold(t) for t in titles} for i, n in entries if (r := difflib.SequenceMatcher(None, a, fold(n)).ratio()) >= 0.82)
     assert Counter((r.title, r.ip_id, r.ratio) for r in identity.er07_fuzzy(spark, D).collect()) == want
+
+
+def test_block_short_titles(spark, tables, rows):
+    d = tables(hashes("Kigozagim", "The Of", "One Two Six Ten Red Sky", "Pale Ox"), catalog("Kigozagim", "Of the", "The Red Lamp", "The Ox of Rome", "Red Sky"))
+    assert rows(relational.jn14_token_block(spark, d)) == sorted([("film-c0", "film-t0", 1), ("film-c1", "film-t1", 2), ("film-c2", "film-t1", 1), ("film-c3", "film-t1", 2), ("film-c2", "film-t2", 1), ("film-c4", "film-t2", 2), ("film-c3", "film-t3", 1)], key=str)
+
+
+def test_block_brute_force(spark, rows):
+    from peertide.plans.common import bridge
+
+    best = Counter()
+    entries = both(spark)[1]
+    for i, title in {(r.ip_id, r.title) for r in bridge(spark, D).where("ip_id is not null and title is not null").collect()}:
+        t = content(title)
+        shared = {c: len(t & split(n)) for c, n in entries if t & split(n)}
+        least = max(1, len(t) // 2)
+        for c, n in shared.items():
+            if n >= least or max(shared.values()) < least:
+                best[c, i] = max(best[c, i], n)
+    assert rows(relational.jn14_token_block(spark, D)) == sorted([(c, i, n) for (c, i), n in best.items()], key=str)
