@@ -113,10 +113,10 @@ def jn14_token_block(spark, d):
 
 
 def jn15_containment(spark, d):
-    """Catalogue titles whose words all stand in a release name; the longest per hash."""
-    w = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: F.length(x) > 2))
-    names = bridge(spark, d).where("raw_name is not null").select(F.col("hash").alias("name_id"), w("raw_name").alias("words"))
-    aliases = table(spark, d, "catalog_info").select(F.col("ip_id").alias("alias_id"), w("ip").alias("words")).where(F.size("words") > 0)
+    """Catalogue titles whose words, numbers and short ones too, all stand in a release name; the one of most words per hash. Little words
+    (the, of) are not asked for, unless a title has no others."""
+    names = bridge(spark, d).where("raw_name is not null").select(F.col("hash").alias("name_id"), text.words(F.col("raw_name")).alias("words"))
+    aliases = table(spark, d, "catalog_info").select(F.col("ip_id").alias("alias_id"), text.content_words(F.col("ip")).alias("words")).where(F.size("words") > 0)
     freq = names.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     c = joins.contained(names, aliases, freq)
     return c.groupBy("name_id").agg(F.min(F.struct((-F.col("n_words")).alias("m"), "alias_id")).alias("w")).select(F.col("name_id").alias("hash"), F.col("w.alias_id").alias("catalog_id"), (-F.col("w.m")).alias("n_words"))

@@ -118,3 +118,21 @@ def test_block_brute_force(spark, rows):
             if n >= least or max(shared.values()) < least:
                 best[c, i] = max(best[c, i], n)
     assert rows(relational.jn14_token_block(spark, D)) == sorted([(c, i, n) for (c, i), n in best.items()], key=str)
+
+
+def test_containment_sequels(spark, tables):
+    names = ["A Ghost for Krisenigim 1999 720p", "Pegosajik.Letter.3.1080p", "Up.1080p", "Ghost.of.it.and.the.9"]
+    d = tables(hashes(*names, raw_name=names), catalog("A Ghost for Krisenigim 3", "Pegosajik Letter", "The Pegosajik Letter 3", "Up", "Of the", "Ghost 10"))
+    assert {(int(r.hash, 16), r.catalog_id, r.n_words) for r in relational.jn15_containment(spark, d).collect()} == {(1, "film-c2", 3), (2, "film-c3", 1), (3, "film-c4", 2)}
+
+
+def test_containment_brute_force(spark, rows):
+    from peertide.plans.common import bridge
+
+    entries = [(content(n), i) for i, n in both(spark)[1] if content(n)]
+    want = []
+    for r in bridge(spark, D).where("raw_name is not null").collect():
+        inside = [(-len(c), i) for c, i in entries if c <= split(r.raw_name)]
+        if inside:
+            want.append((min(inside)[1], r.hash, -min(inside)[0]))
+    assert rows(relational.jn15_containment(spark, D)) == sorted(want, key=str)
