@@ -77,10 +77,12 @@ def agg16_examples(spark, d):
 
 
 def agg18_wrong_year(spark, d):
-    """Share of a title's dated releases more than two years from its median year."""
+    """Share of a title's dated releases more than two years from its median year, the mean of the middle two where their number is even."""
     y = bridge(spark, d).where("ip_id is not null").select("ip_id", text.first_year(F.col("raw_name")).alias("y")).where("y is not null")
-    m = y.groupBy("ip_id").agg(F.min("y").alias("lo"), F.max("y").alias("hi"), F.count(F.lit(1)).alias("n"))
-    return y.join(m, "ip_id").groupBy("ip_id").agg(F.avg((F.abs(F.col("y") - F.col("lo")) > 2).cast("double")).alias("wrong"), F.max("n").alias("n")).where("n >= 3")
+    y = y.groupBy("ip_id", "y").agg(F.count(F.lit(1)).alias("k"))
+    m = y.groupBy("ip_id").agg(F.percentile("y", 0.5, F.col("k")).alias("median"), F.sum("k").alias("n")).where("n >= 3")
+    far = F.when(F.abs(F.col("y") - F.col("median")) > 2, F.col("k")).otherwise(0)
+    return y.join(m, "ip_id").groupBy("ip_id").agg((F.sum(far) / F.max("n")).alias("wrong"), F.max("n").alias("n"))
 
 
 def agg20_channel_rollup(spark, d):

@@ -4,7 +4,8 @@ import difflib
 import os
 import re
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
+from statistics import median
 
 import pytest
 from hypothesis import given, settings
@@ -136,3 +137,21 @@ def test_containment_brute_force(spark, rows):
         if inside:
             want.append((min(inside)[1], r.hash, -min(inside)[0]))
     assert rows(relational.jn15_containment(spark, D)) == sorted(want, key=str)
+
+
+def test_wrong_year_median(spark, tables):
+    names = ["A 1950", "A 2000", "A 2000", "A 2001", "B 1990", "B 1990", "B 2000", "B 2002", "C 1990", "C 2000"]
+    given = hashes(*"AAAABBBBCC", raw_name=names)
+    d = tables([{**h, "ip_id": f"film-{h['title'].lower()}"} for h in given])
+    assert {r.ip_id: (r.wrong, r.n) for r in lines.agg18_wrong_year(spark, d).collect()} == {"film-a": (0.25, 4), "film-b": (1.0, 4)}
+
+
+def test_wrong_year_brute_force(spark):
+    from peertide.plans.common import bridge
+
+    years = defaultdict(list)
+    for r in bridge(spark, D).where("ip_id is not null and raw_name is not null").collect():
+        if y := re.search("(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", r.raw_name):
+            years[r.ip_id].append(int(y[1]))
+    want = {i: (sum(abs(y - median(x)) > 2 for y in x) / len(x), len(x)) for i, x in years.items() if len(x) >= 3}
+    assert want and {r.ip_id: (r.wrong, r.n) for r in lines.agg18_wrong_year(spark, D).collect()} == want
