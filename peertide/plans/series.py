@@ -113,12 +113,24 @@ def skt01_or_merge(spark, d):
     return h.groupBy("ip_id").agg(F.call_function("bitmap_count", sketches.merged(F.col("f"))).alias("bits_set"))
 
 
+def _filled(n):
+    """A filter with as many leading bytes set as n asks for (stands in for a measured one); null for null, which least() would skip."""
+    n = F.when(n.isNotNull(), F.greatest(F.least(n, F.lit(256)), F.lit(0)).cast("int"))
+    return F.unhex(F.concat(F.repeat(F.lit("ff"), n), F.repeat(F.lit("00"), F.lit(256) - n)))
+
+
 def skt02_estimate(spark, d):
     """Cardinality of one sparse filter per hash: as many leading bytes set as its seeders ask for."""
     h = bridge(spark, d).where("seeders is not null")
-    n = F.least(F.col("seeders"), F.lit(256)).cast("int")
-    f = F.unhex(F.concat(F.repeat(F.lit("ff"), n), F.repeat(F.lit("00"), F.lit(256) - n)))
-    return h.select("hash", sketches.estimate(f).alias("members"))
+    return h.select("hash", sketches.estimate(_filled(F.col("seeders"))).alias("members"))
+
+
+def skt03_pass_totals(spark, d):
+    """Per pass over the channels: how many had filter data, and the sums of the estimates of their seeders and leechers (a channel's
+    values stand in every row of it and count once)."""
+    a = table(spark, d, "acestream_demand").groupBy("run_ts", "infohash").agg(F.max("bep33_seeders").alias("s"), F.max("bep33_leechers").alias("l"))
+    e = a.select("run_ts", *[F.coalesce(sketches.estimate(_filled(F.col(c))), F.lit(0)).alias(c) for c in ("s", "l")])
+    return e.groupBy("run_ts").agg(F.count_if((F.col("s") > 0) | (F.col("l") > 0)).alias("n_with_data"), F.sum("s").alias("seeders"), F.sum("l").alias("leechers"))
 
 
 QUERIES = {k: f for k, f in globals().items() if k[:3] in ("win", "dq0", "skt") and callable(f)}
@@ -130,6 +142,7 @@ _DENSE = f"""dense as (select k.ip_id, axis.date, coalesce(daily.value, 0) as v,
 _AVG = f"""x as (select ip_id, coalesce(max(case when date = {_D} then value end), 0) as today, coalesce(sum(case when date < {_D} then value end), 0) / 7.0::double as avg7
   from daily where date between {_D} - 7 and {_D} group by 1)"""
 _DELTA = "del as (select a.ip_id, a.date, a.value, coalesce(b.value, 0) as previous, a.value - coalesce(b.value, 0) as delta from daily a left join daily b on a.ip_id = b.ip_id and b.date = a.date - 1)"
+_EST = "case when {b} >= 2048 then 50000 when {b} <= 0 then 0 else floor(ln((2048 - {b}) / 2048.0::double) / (2 * ln(1 - 1 / 2048.0::double)))::int end"
 ORACLE = {
     "win01_dod_delta": f"with {DAILY}, {_DELTA} select * from del",
     "win02_previous_total": f"with {DAILY}, t as (select date, sum(value)::bigint as total from daily group by 1) select date, total, lag(total) over (order by date) as previous from t",
@@ -156,4 +169,7 @@ ORACLE = {
     "skt01_or_merge": f"""with {BRIDGE} select ip_id, bit_count(bit_or(from_hex(repeat(md5(hash) || md5(hash || 'x'), 8))::bit)) as bits_set from bridge where ip_id is not null group by 1""",
     "skt02_estimate": f"""with {BRIDGE}, s as (select hash, least(seeders, 256) * 8 as b from bridge where seeders is not null)
   select hash, case when b >= 2048 then 50000 when b <= 0 then 0 else floor(ln((2048 - b) / 2048.0::double) / (2 * ln(1 - 1 / 2048.0::double)))::int end as members from s""",
+    "skt03_pass_totals": f"""with a as (select run_ts, infohash, greatest(least(coalesce(max(bep33_seeders), 0), 256), 0) * 8 as s, greatest(least(coalesce(max(bep33_leechers), 0), 256), 0) * 8 as l from acestream_demand group by 1, 2),
+  e as (select run_ts, coalesce({_EST.format(b="s")}, 0) as s, coalesce({_EST.format(b="l")}, 0) as l from a)
+  select run_ts, count(*) filter (s > 0 or l > 0) as n_with_data, sum(s)::bigint as seeders, sum(l)::bigint as leechers from e group by 1""",
 }

@@ -5,6 +5,7 @@ import os
 import re
 import unicodedata
 from collections import Counter, defaultdict
+from datetime import datetime
 from statistics import median
 
 import pytest
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 
 from peertide.functions import text
 from peertide.operators.similar import compared
-from peertide.plans import identity, lines, relational
+from peertide.plans import identity, lines, relational, series
 
 D = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
@@ -155,3 +156,10 @@ def test_wrong_year_brute_force(spark):
             years[r.ip_id].append(int(y[1]))
     want = {i: (sum(abs(y - median(x)) > 2 for y in x) / len(x), len(x)) for i, x in years.items() if len(x) >= 3}
     assert want and {r.ip_id: (r.wrong, r.n) for r in lines.agg18_wrong_year(spark, D).collect()} == want
+
+
+def test_pass_totals(spark, tables, rows):
+    one, two = datetime(2026, 4, 1), datetime(2026, 4, 2)
+    given = [(one, "a", "US", 1, 0), (one, "a", "IN", 1, 0), (one, "b", None, None, 300), (one, "c", None, 0, None), (two, "a", None, None, None)]
+    d = tables(acestream_demand=[{"run_ts": t, "infohash": h, "peer_country": c, "bep33_seeders": s, "bep33_leechers": n} for t, h, c, s, n in given])
+    assert rows(series.skt03_pass_totals(spark, d)) == [(0, 0, two, 0), (50_000, 2, one, 4)]
