@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peertide.session import durable
 
-def heavy_keys(df: DataFrame, key: str, share: float) -> tuple[list, int]:
-    """The keys that hold at least `share` of the rows of df, and the number of rows.
+#: Rows of one key that one task takes; a key of more is split. On large tables the share of a task grows with the table.
+PART_ROWS = 50_000
+#: Keys that can be over that: what is broadcast is bounded by it, whatever the size of the table.
+MOST_HEAVY = 50_000
 
-    The count combines on the map side, so a hot key costs one row per task. At most 1/share keys qualify, which bounds
-    what reaches the driver whatever the size of the input.
+
+def heavy_keys(counts: DataFrame, keys: list[str], *, part_rows: int = PART_ROWS, most_heavy: int = MOST_HEAVY) -> DataFrame:
+    """(keys..., parts) of the keys whose rows need more than one part.
+
+    counts: keys and `n`, one row per key. A part holds max(part_rows, rows / most_heavy) rows, so at most most_heavy keys
+    qualify; each gets as many parts as its rows fill. Null is a key like any other.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    rows = counts.where(F.col("n") >= F.lit(max(1, share * total))).select(key).collect()
-    return [r[0] for r in rows if r[0] is not None], total
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    part = max(part_rows, -(-total // most_heavy))
+    return counts.where(F.col("n") > part).select(*keys, F.ceil(F.col("n") / F.lit(part)).cast("int").alias("parts"))
+
+
+def with_parts(df: DataFrame, keys: list[str], heavy: DataFrame, alias: str = "parts") -> DataFrame:
+    """df with the number of parts of each row's key, 1 where it is not heavy. `heavy` is bounded (see heavy_keys), so it is
+    broadcast and no row moves; null keys meet null."""
+    side = heavy.select(*[F.col(k).alias(f"_heavy_{i}") for i, k in enumerate(keys)], F.col("parts").alias("_heavy_parts"))
+    same = [F.col(k).eqNullSafe(F.col(f"_heavy_{i}")) for i, k in enumerate(keys)]
+    out = df.join(F.broadcast(side), same, "left").withColumn(alias, F.coalesce("_heavy_parts", F.lit(1)))
+    return out.drop("_heavy_parts", *[f"_heavy_{i}" for i in range(len(keys))])
 
 
 def salted_counts(
@@ -24,41 +39,32 @@ def salted_counts(
     member: Column | None = None,
     counted: Column | None = None,
     *,
-    heavy_share: float = 0.01,
-    salts: int = 64,
+    part_rows: int = PART_ROWS,
+    most_heavy: int = MOST_HEAVY,
 ) -> DataFrame:
-    """Rows, and distinct members, per key: (key, n_rows, n_members, is_heavy).
+    """Rows, and distinct members, per key: (key, n_rows, n_members, parts, n_total), n_total being the rows of all keys.
 
-    Keys over `heavy_share` of the rows are split by a salt; partial results per (key, salt) are merged by the key. The
-    salt is a hash of the member, not a random number: a member falls into one salt, so distinct counts add up, and a task
-    that runs again after a lost executor makes the same rows. One exchange carries the data; both aggregations over
-    (key, salt) use its partitioning, and the merge moves one row per (key, salt).
+    One pass counts rows per key, combined before its exchange, so that no key is hot in it. Distinct members of keys with
+    more rows than a part are counted in two stages: a salt sends their rows to as many parts as the rows fill, partial counts
+    per (key, salt) are merged by the key. The salt is a hash of the member, not a random number: a member falls into one
+    part, so distinct counts add up, and a task that runs again after a lost executor makes the same rows. One exchange
+    carries the data; both aggregations over (key, salt) use its partitioning, and the merge moves one row per (key, salt).
+    Rows of one key and one member stay together, however many they are; they are counted as they are read and not held.
 
-    Without `member`, rows are spread by a hash of the whole row. `counted` restricts which members count as distinct
-    (rows always count). Null keys are one group of their own; null members do not count as members; an empty input gives no
-    rows; repeated rows each count; other columns, whatever their names, are ignored.
+    `counted` restricts which members count as distinct (rows always count). Null keys are one key of their own, salted like
+    any other; null members are rows but no members; without `member` there is nothing to count but rows; an empty input gives
+    no rows; repeated rows each count; other columns, whatever their names, are ignored.
     """
-    spread = member if member is not None else F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    parts = df.select(
-        key.alias("key"),
-        (member if member is not None else F.lit(None).cast("string")).alias("member"),
-        (F.coalesce(counted, F.lit(False)) if counted is not None else F.lit(True)).alias("counted"),
-        F.xxhash64(spread).alias("spread"),
-    )
-    heavy, _ = heavy_keys(parts, "key", heavy_share)
-    is_heavy = F.coalesce(F.col("key").isin(heavy), F.lit(False)) if heavy else F.lit(False)
-    salted = parts.withColumn("is_heavy", is_heavy).withColumn(
-        "salt", F.when(F.col("is_heavy"), F.pmod("spread", F.lit(salts))).otherwise(F.lit(0))
-    )
-    if member is None:  # plain counts: the partial aggregate before the exchange does the work
-        stage1 = salted.groupBy("key", "salt", "is_heavy").agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("m"))
-    else:
-        once = salted.repartition("key", "salt").groupBy("key", "salt", "is_heavy", "member").agg(
-            F.count(F.lit(1)).alias("n"), F.max("counted").alias("counted")
-        )
-        stage1 = once.groupBy("key", "salt", "is_heavy").agg(
-            F.sum("n").alias("n"), F.count(F.when(F.col("counted") & F.col("member").isNotNull(), 1)).alias("m")
-        )
-    return stage1.groupBy("key").agg(
-        F.sum("n").alias("n_rows"), F.sum("m").alias("n_members"), F.max("is_heavy").alias("is_heavy")
-    )
+    counts_as = F.lit(False) if member is None else member.isNotNull() & (F.lit(True) if counted is None else F.coalesce(counted, F.lit(False)))
+    rows = df.select(key.alias("key"), (F.lit(None).cast("string") if member is None else member).alias("member"), counts_as.alias("counted"))
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("counted"), 1)).alias("n"))
+    counts = durable(counts)
+    total = counts.agg(F.sum("n_rows")).first()[0] or 0
+    heavy = heavy_keys(counts, ["key"], part_rows=part_rows, most_heavy=most_heavy)
+    counts = with_parts(counts, ["key"], heavy)
+    salted = with_parts(rows.where("counted").select("key", "member"), ["key"], heavy).withColumn("salt", F.pmod(F.xxhash64("member"), F.col("parts")))
+    once = salted.repartition("key", "salt").select("key", "salt", "member").distinct()
+    per_salt = once.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("m"))
+    members = per_salt.groupBy(F.col("key").alias("_key")).agg(F.sum("m").alias("m"))
+    out = counts.join(members, F.col("key").eqNullSafe(F.col("_key")), "left")
+    return out.select("key", "n_rows", F.coalesce("m", F.lit(0)).alias("n_members"), "parts", F.lit(total).cast("bigint").alias("n_total"))

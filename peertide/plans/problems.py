@@ -21,25 +21,31 @@ CHANNEL_UPPER = 50_000.0
 TITLE_DEVIATIONS, CHANNEL_DEVIATIONS = 7.0, 5.0
 
 
+def _per_hash(spark: SparkSession, d: str) -> DataFrame:
+    ip = F.col("ip")
+    return salted_counts(table(spark, d, "peers").select("hash", "ip"), F.lower("hash"), ip, is_observer(ip))
+
+
+def _per_ip_id(spark: SparkSession, d: str) -> DataFrame:
+    return salted_counts(table(spark, d, "hashes").select("ip_id", "hash"), norm_id("ip_id"), F.lower("hash"))
+
+
 def p2_hash(spark: SparkSession, d: str) -> DataFrame:
     """Rows and distinct observers of every hash."""
-    ip = F.col("ip")
-    out = salted_counts(table(spark, d, "peers").select("hash", "ip"), F.lower("hash"), ip, is_observer(ip))
-    return out.select(F.col("key").alias("hash"), "n_rows", F.col("n_members").alias("n_ips"))
+    return _per_hash(spark, d).select(F.col("key").alias("hash"), "n_rows", F.col("n_members").alias("n_ips"))
 
 
 def p2_ip_id(spark: SparkSession, d: str) -> DataFrame:
     """Rows and distinct hashes of every ip_id of hashes."""
-    out = salted_counts(table(spark, d, "hashes").select("ip_id", "hash"), norm_id("ip_id"), F.lower("hash"))
-    return out.select(F.col("key").alias("ip_id"), "n_rows", F.col("n_members").alias("n_hashes"))
+    return _per_ip_id(spark, d).select(F.col("key").alias("ip_id"), "n_rows", F.col("n_members").alias("n_hashes"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """The keys that hold at least 4 % of all rows, taken from the results per key."""
-    n_peers, n_hashes = table(spark, d, "peers").count(), table(spark, d, "hashes").count()
-    hashes = p2_hash(spark, d).where(F.col("n_rows") >= HUGE * n_peers).select(F.lit("hash").alias("key_field"), F.col("hash").alias("key_value"))
-    ids = p2_ip_id(spark, d).where(F.col("n_rows") >= HUGE * n_hashes).select(F.lit("ip_id").alias("key_field"), F.col("ip_id").alias("key_value"))
-    return hashes.where("key_value is not null").unionByName(ids.where("key_value is not null"))
+    huge = (F.col("n_rows") >= HUGE * F.col("n_total")) & F.col("key").isNotNull()
+    hashes = _per_hash(spark, d).where(huge).select(F.lit("hash").alias("key_field"), F.col("key").alias("key_value"))
+    ids = _per_ip_id(spark, d).where(huge).select(F.lit("ip_id").alias("key_field"), F.col("key").alias("key_value"))
+    return hashes.unionByName(ids)
 
 
 def p3_trailing(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from peertide.functions.ids import is_observer, norm_country
 from peertide.operators.dedup import latest_view
 from peertide.plans.common import AS_OF, BRIDGE, OBS, bridge, observations
 from peertide.plans.relational import ORACLE as RELATIONAL
-from peertide.session import shared_dir, ship
+from peertide.session import scratch, ship
 from peertide.sources import feeds
 from peertide.streaming import announce
 
@@ -29,7 +28,7 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
 def _drain(df: DataFrame, mode: str) -> DataFrame:
     """Runs a stream over what is there now and returns its output as a table."""
     spark = df.sparkSession
-    base = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    base = scratch(spark)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
@@ -60,7 +59,7 @@ def stm09_throttle(spark, d):
 
 def stm02_upsert_batches(spark, d):
     """State of the upsert over a log written by idempotent micro-batches."""
-    base = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    base = scratch(spark)
     q = announce.upsert_batches(_stream(spark, d), f"{base}/log", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     log = spark.read.parquet(f"{base}/log").withColumn("country", F.nullif("country", F.lit("??")))

@@ -72,9 +72,18 @@ def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
     return df if df._jdf.rdd().getNumPartitions() >= wanted else df.repartition(wanted)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared folder, deleted when the session's JVM ends: results are read until then."""
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Written once as a table in the shared folder and read back: what follows no longer depends on the executors that
     computed it, and its plan knows the table's true size."""
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from peertide.operators import dedup, joins, series, sketches
 from peertide.operators.anomaly import flag_readings, implausible, rolling_median
 from peertide.operators.demand import floor_other, union_demand
 from peertide.operators.rolling import trailing_totals
-from peertide.operators.skew import heavy_keys, salted_counts
+from peertide.operators.skew import heavy_keys, salted_counts, with_parts
 from peertide.sources import feeds, sinks
 from peertide.streaming import announce
 
@@ -36,22 +36,34 @@ def test_norms(spark):
     assert [tuple(x) for x in r] == [("film-q1", "US", True), (None, None, False), ("x", None, False), ("y", "NA", False)]
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_salted_counts(spark, salts):
+@pytest.mark.parametrize("part_rows", [5, 50, 500, 5000])
+def test_salted_counts(spark, part_rows):
     rng = random.Random(1)
     data = [("hot", f"m{rng.randrange(50)}", 1) for _ in range(400)] + [(f"k{i % 20}", f"m{i % 3}", 2) for i in range(100)] + [(None, "x", 3), ("k0", None, 4)]
+    data += [(None, f"n{rng.randrange(90)}", 5) for _ in range(500)] + [("gone", None, 6)] * 3  # null holds half of the rows
     df = spark.createDataFrame(data, "key string, member string, n_rows int")
-    got = {r.key: (r.n_rows, r.n_members) for r in salted_counts(df, F.col("key"), F.col("member"), salts=salts, heavy_share=0.2).collect()}
+    got = {r.key: (r.n_rows, r.n_members) for r in salted_counts(df, F.col("key"), F.col("member"), part_rows=part_rows).collect()}
     want = defaultdict(lambda: [0, set()])
     for k, m, _ in data:
         want[k][0] += 1
         want[k][1] |= {m} - {None}
     assert got == {k: (n, len(m)) for k, (n, m) in want.items()}
-    assert {r.key: r.n_rows for r in salted_counts(df, F.col("key"), heavy_share=0.2).collect()} == {k: n for k, (n, _) in want.items()}
-    assert heavy_keys(df, "key", 0.2) == (["hot"], len(data))
+    assert {r.key: r.n_rows for r in salted_counts(df, F.col("key"), part_rows=part_rows).collect()} == {k: n for k, (n, _) in want.items()}
     assert salted_counts(df.limit(0), F.col("key"), F.col("member")).count() == 0
 
 
+def test_heavy_keys_are_split_by_rows(spark):
+    counts = spark.createDataFrame([(None, 500), ("a", 99), ("b", 100), ("c", 101)], "key string, n bigint")
+    assert {r.key: r.parts for r in heavy_keys(counts, ["key"], part_rows=100).collect()} == {None: 5, "c": 2}
+    assert {r.key: r.parts for r in heavy_keys(counts, ["key"], part_rows=1, most_heavy=2).collect()} == {None: 2}  # parts of 400 rows
+    # the largest part of a null key of half the rows is within twice the mean
+    df = spark.range(20_000).selectExpr("case when id % 2 = 0 then null else cast(id % 50 as string) end as key", "cast(id as string) as member")
+    heavy = heavy_keys(df.groupBy("key").agg(F.count(F.lit(1)).alias("n")), ["key"], part_rows=400)
+    parts = with_parts(df, ["key"], heavy).withColumn("salt", F.pmod(F.xxhash64("member"), F.col("parts")))
+    sizes = [r.n for r in parts.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) <= 2 * np.median(sizes)
+
+
 def test_trailing_totals(spark):
     rng = random.Random(2)
     start, data, last = date(2026, 1, 1), [], {}
