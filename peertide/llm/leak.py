@@ -8,15 +8,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-from peertide.session import spread
+from peertide.operators.skew import salted_join
+from peertide.session import durable, spread
 
 _TAG = re.compile(r"<!--.*?-->|</?[a-zA-Z][^<>]*>", re.S)
 _INLINE = re.compile(r"</?(?:a|abbr|b|big|code|del|em|font|i|ins|kbd|mark|s|small|span|strike|strong|sub|sup|tt|u|wbr)\b[^<>]*>", re.I)
 _UNSEEN = re.compile("[­​-‏⁠﻿]")
-#: Windows looked up at a time; bounds what a task holds.
-PIECE = 4096
+#: Windows embedded at a time; bounds what a task holds.
+PIECE = 1 << 15
+#: Bits of the filters of the items' keys and words: 8 MB each at most, whatever the number of items.
+FILTER_BITS = 26
+#: Item windows on which recall is measured, those of the smallest hashes.
+MEASURED = 2000
+#: Words remembered by a task with their hashes.
+MEMO = 1 << 20
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -32,71 +42,123 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(_UNSEEN.sub("", text).casefold())
 
 
+def hashes(w: list[str], memo: dict[str, int]) -> np.ndarray:
+    """64-bit hashes of words: what windows are made of. At 10^9 different words 0.03 equal pairs are expected."""
+    if len(memo) > MEMO:
+        memo.clear()
+    out = np.empty(len(w), np.int64)
+    get = memo.get
+    for i, x in enumerate(w):
+        h = get(x)
+        if h is None:
+            h = memo[x] = xxhash.xxh3_64_intdigest(x) - (1 << 63)
+        out[i] = h
+    return out
+
+
 class Embedding:
     """CGK random walks over windows of symbols, each with one sample of its positions.
 
-    A walk copies a window of w symbols to 3w positions; at each position a random bit of (position, symbol) says whether it moves
-    on. Windows within edit distance e end within Hamming distance O(e^2) with constant probability, equal windows always
-    coincide. Every table has a walk of its own: a near window that one walk tears apart may still meet in the next. Positions are
-    sampled from the first 2w, since later ones mostly hold padding, which tells nothing.
+    A walk copies a window of w symbols to 2w positions; at each position a random bit of (position, symbol) says whether it
+    moves on. Windows within edit distance e end within Hamming distance O(e^2) with constant probability, equal windows
+    always coincide. Every table has a walk of its own: a near window that one walk tears apart may still meet in the next.
+    Symbols are any 64-bit numbers but 0, which pads; the random bit is the top one of a product with an odd number.
     """
 
-    def __init__(self, window: int, symbols: int, tables: int, sampled: int, seed: int = 7):
-        rng = np.random.default_rng(seed)
+    def __init__(self, window: int, tables: int, sampled: int, seed: int = 7):
         self.window, self.tables = window, tables
-        self.moves = rng.integers(0, 2, (tables, 2 * window, symbols + 2), dtype=np.int8)
-        self.at = np.sort(np.array([rng.permutation(2 * window)[:sampled] for _ in range(tables)]), axis=1)
-        self.mix = rng.integers(1, 1 << 62, (tables, sampled), dtype=np.int64) | 1
+        each = [np.random.default_rng((seed, t)) for t in range(tables)]  # the first tables are the same however many there are
+        self.moves = np.array([r.integers(-(1 << 62), 1 << 62, 2 * window, dtype=np.int64) * 2 + 1 for r in each])
+        self.at = np.sort(np.array([r.permutation(2 * window)[:sampled] for r in each]), axis=1)
+        self.mix = np.array([r.integers(1, 1 << 62, sampled, dtype=np.int64) | 1 for r in each])
 
-    def keys(self, w: np.ndarray) -> np.ndarray:
-        """(tables, n) hash values of n windows of symbol numbers >= 1; 0 pads."""
+    def keys(self, w: np.ndarray, only: range | None = None) -> np.ndarray:
+        """(tables, n) hash values of n windows, of all tables or some."""
         n = len(w)
-        padded = np.concatenate((w, np.zeros((n, 1), w.dtype)), axis=1)
-        rows = np.arange(n)
-        keys = np.empty((self.tables, n), np.int64)
+        padded = np.concatenate((w, np.zeros((n, 1), np.int64)), axis=1).ravel()
+        base = np.arange(n) * (self.window + 1)
+        only = range(self.tables) if only is None else only
+        keys = np.empty((len(only), n), np.int64)
         with np.errstate(over="ignore"):
-            for t in range(self.tables):
-                at, h = np.zeros(n, np.int64), np.full(n, t + 1, np.int64)
+            for row, t in enumerate(only):
+                at, h = base.copy(), np.full(n, t + 1, np.int64)
+                end = base + self.window
                 mix = dict(zip(self.at[t].tolist(), self.mix[t], strict=True))
                 for j in range(int(self.at[t][-1]) + 1):
-                    symbol = padded[rows, at]
+                    symbol = padded[at]
                     if j in mix:
                         h = (h ^ (symbol * mix[j])) * np.int64(-7046029254386353131)
                         h ^= h >> 29
-                    at = np.minimum(at + self.moves[t, j, symbol], self.window)
-                keys[t] = h
+                    at += (symbol * self.moves[t, j]) < 0
+                    np.minimum(at, end, out=at)
+                keys[row] = h
         return keys
 
 
-def recall_of(window: int, edits: int, tables: int, sampled: int, trials: int = 2000) -> float:
-    """Measured share of windows at the given number of word edits that meet in some table."""
+KINDS_OF_EDIT = ("exchanged", "dropped", "inserted")
+
+
+def edited(w: np.ndarray, edits: int, kind: str) -> np.ndarray:
+    """Copies of windows with words exchanged, dropped or inserted at random places; cut to the window or filled up with a strange
+    word, as at the end of a passage."""
     rng = np.random.default_rng(3)
-    symbols = 2000
-    e = Embedding(window, symbols, tables, sampled)
-    a = rng.integers(1, symbols, (trials, window))
-    b = a.copy()
-    for i in range(trials):
-        row = list(a[i])
-        for _ in range(edits):
-            p, kind = rng.integers(len(row)), rng.integers(3)
-            if kind == 0:
-                row[p] = int(rng.integers(1, symbols))
-            elif kind == 1:
-                row = [*row[:p], *row[p + 1 :], int(rng.integers(1, symbols))]
-            else:
-                row = [*row[:p], int(rng.integers(1, symbols)), *row[p:-1]]
-        b[i] = row[:window]
-    return float((e.keys(a) == e.keys(b)).any(axis=0).mean())
-
-
-def tables_for(window: int, edits: int, recall: float, sampled: int) -> int:
-    """The fewest tables, up to 128, whose measured recall reaches the target; one for equal windows only."""
-    if not edits:
+    n, size = w.shape
+    col = np.arange(size)
+    for _ in range(edits):
+        p, strange = rng.integers(0, size, n)[:, None], rng.integers(1, 1 << 62, n)[:, None]
+        if kind == "exchanged":
+            w = np.where(col == p, strange, w)
+        elif kind == "dropped":
+            w = np.where(col < p, w, np.concatenate((w[:, 1:], strange), axis=1))
+        else:
+            w = np.where(col < p, w, np.where(col == p, strange, np.roll(w, 1, axis=1)))
+    return w
+
+
+def _met(w: np.ndarray, edits: int, e: Embedding, tables: range) -> dict[str, np.ndarray]:
+    mine = e.keys(w, tables)
+    return {k: (mine == e.keys(edited(w, edits, k), tables)).any(axis=0) for k in KINDS_OF_EDIT}
+
+
+def recall_of(w: np.ndarray, edits: int, tables: int, sampled: int) -> dict[str, float]:
+    """Measured share of the given windows that meet an edited copy of themselves in some table, by kind of edit."""
+    found = _met(w, edits, Embedding(w.shape[1], tables, sampled), range(tables))
+    return {k: float(v.mean()) if len(w) else 1.0 for k, v in found.items()}
+
+
+def tables_for(w: np.ndarray, edits: int, recall: float, sampled: int, most: int = 128) -> int:
+    """The fewest tables whose measured recall, less two standard errors, reaches the target for every kind of edit; one for equal windows only."""
+    if not edits or not len(w):
         return 1
-    n = 4
-    while n < 128 and recall_of(window, edits, n, sampled) < recall:
-        n += max(1, n // 4)
-    return n
+    e = Embedding(w.shape[1], most, sampled)
+    found = {k: np.zeros(len(w), bool) for k in KINDS_OF_EDIT}
+    for t in range(most):
+        for k, v in _met(w, edits, e, range(t, t + 1)).items():
+            found[k] |= v
+        worst = min(v.mean() for v in found.values())
+        if worst - 2 * np.sqrt(worst * (1 - worst) / len(w)) >= recall:  # more surely than the sample alone
+            return t + 1
+    return most
+
+
+def _bits(keys: DataFrame, name: str) -> np.ndarray:
+    """The filter of the top FILTER_BITS bits of a column, put together from 4 kB pieces: a fixed size for any number of keys."""
+    at = F.shiftrightunsigned(name, 64 - FILTER_BITS)
+    pieces = keys.select(at.alias("at")).groupBy(F.floor(F.col("at") / 32768).alias("bucket"))
+    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for r in pieces.agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits")).collect():
+        out[r.bucket * 4096 : (r.bucket + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def _in(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    at = x.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _lists(a: np.ndarray) -> pa.ListArray:
+    n, w = a.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * w), pa.array(a.ravel()))
 
 
 def edit_distances(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -122,26 +184,49 @@ def edit_distances(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return band[0]
 
 
-def longest_run(doc: list[int], item: list[int], pairs: set[tuple[int, int]], window: int) -> int:
-    """Longest exact common run of words through or beside the window starts that met."""
-    best = 0
-    seen: set[tuple[int, int]] = set()
-    for i, j in pairs:
-        for s in range(window):
-            p, q = i + s, j + s
-            if p >= len(doc) or q >= len(item) or doc[p] != item[q] or (p, q) in seen:
-                continue
-            lo = 0
-            while p - lo > 0 and q - lo > 0 and doc[p - lo - 1] == item[q - lo - 1]:
-                lo += 1
-            hi = 0
-            while p + hi < len(doc) and q + hi < len(item) and doc[p + hi] == item[q + hi]:
-                seen.add((p + hi, q + hi))
-                hi += 1
-            best = max(best, lo + hi)
+def common_run(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
+    """Longest run of equal words of row i of a and row i of b, set against each other at most `shift` words apart."""
+    n, w = a.shape
+    best = np.zeros(n, np.int32)
+    for d in range(-shift, shift + 1):
+        same = a[:, max(0, d) : w + min(0, d)] == b[:, max(0, -d) : w - max(0, d)]
+        run = np.zeros(n, np.int32)
+        for c in range(same.shape[1]):
+            run = np.where(same[:, c], run + 1, 0).astype(np.int32)
+            np.maximum(best, run, out=best)
     return best
 
 
+def _windows(df: DataFrame, id_: str, text: str, window: int) -> DataFrame:
+    """(uid, id, at, w) of all windows of the items; uid tells repeated items apart."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, int] = {}
+        uid = TaskContext.get().partitionId() << 40
+        for b in it:
+            for r, t in enumerate(b.column(1)):
+                h = hashes(words(t.as_py()), memo)
+                uid += 1
+                n = len(h) - window + 1
+                if n > 0:
+                    w = np.lib.stride_tricks.sliding_window_view(h, window)
+                    own = b.column(0).take(pa.array(np.full(n, r)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, uid)), own, pa.array(np.arange(n, dtype=np.int32)), _lists(w)], ["item", "item_id", "j", "v"])
+
+    kind = df.schema[id_].dataType.simpleString()
+    return df.select(id_, text).where(F.col(text).isNotNull()).mapInArrow(run, f"item bigint, item_id {kind}, j int, v array<bigint>")
+
+
+def _keyed(windows: DataFrame, e: Embedding) -> DataFrame:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            if b.num_rows:
+                w = b.column("v").flatten().to_numpy().reshape(b.num_rows, -1)
+                yield pa.RecordBatch.from_arrays([*b.columns, _lists(np.ascontiguousarray(e.keys(w).T))], [*b.schema.names, "item_keys"])
+
+    return windows.mapInArrow(run, f"item bigint, item_id {windows.schema['item_id'].dataType.simpleString()}, j int, v array<bigint>, item_keys array<bigint>")
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -153,127 +238,99 @@ def leaks(
     max_edits: int = 1,
     recall: float = 0.95,
     sampled: int = 7,
-    block: int = 4096,
 ) -> DataFrame:
     """(doc_id, item_id, edits, longest_run): documents with a window of `window` words within `max_edits` word edits of a
-    window of an item; edits is the smallest distance found, longest_run the longest exact common run of words there.
-
-    Windows start at every word of documents and items. Windows with fewer than window - max_edits words of the items'
-    vocabulary cannot qualify and are passed over before embedding. Equal windows meet in every table, so recall at distance
-    0 is 1; the number of tables is the smallest whose measured recall at max_edits reaches `recall`. Each meeting is verified
-    by the exact edit distance.
-
-    Items are the stated query set: they are read in blocks of `block` items, one pass over the documents each, so what
-    is sent to the tasks is bounded. Null, empty and blank texts and items shorter than the window give no rows; very long
-    texts are cut into no pieces; repeated documents each report; null ids are kept as they are.
+    window of an item; edits is the smallest distance found, longest_run the longest exact common run of words: in equal
+    windows that follow one another, else within the nearest windows.
+
+    Windows start at every word of documents and items, and are embedded by as many random walks as it takes to meet a window
+    at max_edits with the wanted `recall`, measured on up to MEASURED windows of the items for every kind of edit; equal
+    windows meet in every table, so recall at distance 0 is 1. The items' keys are a stored table; the documents are read once,
+    whatever the number of items: windows with fewer than window - max_edits words that items have, and keys that no item
+    has, fall to two bit filters of fixed size, and what is left is joined by key. A key that a large part of the corpus
+    shares is split. Each meeting is verified by the exact edit distance.
+
+    Null, empty and blank texts and items shorter than the window give no rows; very long texts are cut into no pieces;
+    repeated documents each report, repeated items count once; null ids are kept as they are, ids may be of any type.
     """
-    tables = tables_for(window, max_edits, recall, sampled)
-    out = None
-    rows = items.select(item_id, text).where(f"{text} is not null").collect() if items.count() <= block else None
-    blocks = [rows] if rows is not None else _blocks(items.select(item_id, text).where(f"{text} is not null"), item_id, block)
-    for part in blocks:
-        found = _search(docs, part, doc_id, item_id, text, window, max_edits, tables, sampled)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _blocks(items: DataFrame, item_id: str, block: int) -> Iterator[list]:
-    held = []
-    for r in items.toLocalIterator():
-        held.append(r)
-        if len(held) == block:
-            yield held
-            held = []
-    if held:
-        yield held
-
-
-def _search(docs, part, doc_id, item_id, text, window, max_edits, tables, sampled) -> DataFrame:
-    tokens = [(r[0], words(r[1])) for r in part]
-    vocab: dict[str, int] = {}
-    for _, w in tokens:
-        for x in w:
-            vocab.setdefault(x, len(vocab) + 1)
-    coded = [(i, [vocab[x] for x in w]) for i, w in tokens if len(w) >= window]
-    kind_doc, kind_item = docs.schema[doc_id].dataType.simpleString(), "bigint"
-    schema = f"{doc_id} {kind_doc}, {item_id} {kind_item}, edits int, longest_run int"
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, coded))  # at most `block` items
-    state: dict = {}
-
-    def prepare() -> tuple:
-        if not state:
-            vocab, coded = shared.value
-            e = Embedding(window, len(vocab), tables, sampled)
-            if coded:
-                ws = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.array(w), window) for _, w in coded])
-                owner = np.concatenate([np.full(len(w) - window + 1, n) for n, (_, w) in enumerate(coded)])
-                start = np.concatenate([np.arange(len(w) - window + 1) for _, w in coded])
-                keys = e.keys(ws)
-                order = np.argsort(keys, axis=1, kind="stable")
-                state["all"] = (e, ws, owner, start, np.take_along_axis(keys, order, 1), order)
-            else:
-                state["all"] = (e, None, None, None, None, None)
-        return state["all"]
-
-    def meetings(own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(own window, item window, edits) of all pairs that meet in a table and verify, in pieces."""
-        e, ws, _, _, keys, order = prepare()
-        mk = e.keys(own)
-        for lo_at in range(0, len(own), PIECE):
-            pairs = []
-            for k in range(e.tables):
-                part = mk[k, lo_at : lo_at + PIECE]
-                lo, hi = np.searchsorted(keys[k], part, "left"), np.searchsorted(keys[k], part, "right")
-                n = hi - lo
-                x = np.repeat(np.arange(len(part)), n)
-                y = order[k][np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
-                pairs.append(np.unique((x + lo_at) * np.int64(len(ws)) + y))
-            both = np.unique(np.concatenate(pairs))
-            for at in range(0, len(both), 16 * PIECE):
-                x, y = np.divmod(both[at : at + 16 * PIECE], len(ws))
-                dist = edit_distances(own[x], ws[y], max_edits)
-                ok = dist <= max_edits
-                yield x[ok], y[ok], dist[ok]
+    item_windows = durable(_windows(items, item_id, text, window))
+    some = item_windows.select(F.xxhash64("v").alias("h"), "v").distinct().orderBy("h").limit(MEASURED).collect()
+    tables = tables_for(np.array([r.v for r in some], np.int64).reshape(-1, window), max_edits, recall, sampled)
+    e = Embedding(window, tables, sampled)
+    listed = durable(_keyed(item_windows, e))
+    exploded = listed.select("*", F.explode("item_keys").alias("key"))
+    filters = docs.sparkSession.sparkContext.broadcast((_bits(item_windows.select(F.explode("v").alias("x")), "x"), _bits(exploded.select("key"), "key")))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, coded = shared.value
-        _, ws, owner, start, _, _ = prepare()
-        get = vocab.get
+        of_words, of_keys = filters.value
+        memo: dict[str, int] = {}
+        uid = TaskContext.get().partitionId() << 40
+        own: list[np.ndarray] = []
+        row, doc, pos = [], [], []
+
+        def flush(ids: pa.Array) -> Iterator[pa.RecordBatch]:
+            w = np.concatenate(own)
+            for lo in range(0, len(w), PIECE):
+                keys = e.keys(w[lo : lo + PIECE]).T
+                met = _in(of_keys, np.ascontiguousarray(keys).ravel()).reshape(keys.shape)
+                hit = np.flatnonzero(met.any(axis=1))
+                if len(hit):
+                    at = hit + lo
+                    off = np.r_[0, np.cumsum(met[hit].sum(axis=1))].astype(np.int32)
+                    of = np.concatenate(row)[at], np.concatenate(doc)[at], np.concatenate(pos)[at]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(of[1]), ids.take(pa.array(of[0])), pa.array(of[2].astype(np.int32)), _lists(w[at]), pa.ListArray.from_arrays(pa.array(off), pa.array(keys[hit][met[hit]]))],
+                        ["doc", "doc_id", "i", "w", "doc_keys"],
+                    )
+            for x in (own, row, doc, pos):
+                x.clear()
+
         for b in it:
-            codes: dict[int, list[int]] = {}
-            own, doc, pos = [], [], []
-            for d, t in enumerate(b.column(1)):
-                w = words(t.as_py()) if coded else []
+            held = 0
+            for r, t in enumerate(b.column(1)):
+                uid += 1
+                w = words(t.as_py())
                 if len(w) < window:
                     continue
-                code = [get(x, 0) for x in w]
-                a = np.array(code, np.int32)
-                known = np.r_[0, np.cumsum(a > 0)]
+                h = hashes(w, memo)
+                known = np.r_[0, np.cumsum(_in(of_words, h))]
                 at = np.flatnonzero(known[window:] - known[:-window] >= window - max_edits)
                 if len(at):
-                    codes[d] = code
-                    # words outside the vocabulary become one symbol of their own
-                    own.append(np.lib.stride_tricks.sliding_window_view(np.where(a > 0, a, len(vocab) + 1), window)[at])
-                    doc.append(np.full(len(at), d))
+                    own.append(np.lib.stride_tricks.sliding_window_view(h, window)[at])
+                    row.append(np.full(len(at), r))
+                    doc.append(np.full(len(at), uid))
                     pos.append(at)
-            found: dict[tuple[int, int], tuple[int, set]] = {}
+                    held += len(at)
+                    if held >= PIECE:
+                        yield from flush(b.column(0))
+                        held = 0
             if own:
-                own, doc, pos = np.concatenate(own), np.concatenate(doc), np.concatenate(pos)
-                for x, y, dist in meetings(own):
-                    for d, n, i, j, k in zip(doc[x].tolist(), owner[y].tolist(), pos[x].tolist(), start[y].tolist(), dist.tolist(), strict=True):
-                        best, at = found.get((d, n), (window, set()))
-                        at.add((i, j))
-                        found[d, n] = (min(best, k), at)
-            keys = sorted(found)
-            runs = [longest_run(codes[d], coded[n][1], found[d, n][1], window) for d, n in keys]
+                yield from flush(b.column(0))
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    found = spread(docs.select(doc_id, text).where(F.col(text).isNotNull())).mapInArrow(run, f"doc bigint, doc_id {kind}, i int, w array<bigint>, doc_keys array<bigint>")
+    found = durable(found.select("*", F.explode("doc_keys").alias("key")))
+    met = salted_join(found, exploded, ["key"])
+    met = met.where(F.array_intersect("doc_keys", "item_keys")[0] == F.col("key"))  # each pair once, where it first meets
+
+    def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            if not b.num_rows:
+                continue
+            x, y = (b.column(c).flatten().to_numpy().reshape(b.num_rows, window) for c in ("w", "v"))
+            dist = edit_distances(x, y, max_edits)
+            ok = np.flatnonzero(dist <= max_edits)
+            take = pa.array(ok)
             yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0).take(pa.array([d for d, _ in keys], pa.int64())),
-                    pa.array([coded[n][0] for _, n in keys], pa.int64()),
-                    pa.array([found[k][0] for k in keys], pa.int32()),
-                    pa.array(runs, pa.int32()),
-                ],
-                [doc_id, item_id, "edits", "longest_run"],
+                [*[b.column(c).take(take) for c in ("doc", "doc_id", "item", "item_id", "i", "j")], pa.array(dist[ok].astype(np.int32)), pa.array(common_run(x[ok], y[ok], max_edits))],
+                ["doc", "doc_id", "item", "item_id", "i", "j", "edits", "run"],
             )
 
-    return spread(docs.select(doc_id, text).where(f"{text} is not null")).mapInArrow(run, schema)
+    kinds = f"doc bigint, doc_id {kind}, item bigint, item_id {items.schema[item_id].dataType.simpleString()}, i int, j int, edits int, run int"
+    pairs = met.select("doc", "doc_id", "item", "item_id", "i", "j", "w", "v").mapInArrow(verify, kinds)
+    diagonal = Window.partitionBy("doc", "doc_id", "item", "item_id", F.col("i") - F.col("j")).orderBy("i")
+    pairs = pairs.withColumn("island", F.when(F.col("edits") == 0, F.col("i") - F.sum((F.col("edits") == 0).cast("int")).over(diagonal)))
+    lengths = pairs.groupBy("doc", "doc_id", "item", "item_id", F.col("i") - F.col("j"), "island").agg(F.min("edits").alias("edits"), F.max("run").alias("run"), F.count(F.lit(1)).cast("int").alias("n"))
+    run_: Column = F.when(F.col("island").isNotNull(), F.lit(window - 1) + F.col("n")).otherwise(F.col("run"))
+    out = lengths.groupBy("doc", "doc_id", "item_id").agg(F.min("edits").alias("edits"), F.max(run_).alias("longest_run"))
+    return out.select(F.col("doc_id").alias(doc_id), F.col("item_id").alias(item_id), "edits", "longest_run")

@@ -70,7 +70,7 @@ def p5_day_to_day(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_top(spark: SparkSession, d: str) -> DataFrame:
     """The five best titles of each date and country, with rank and count."""
-    out = top_n(_best_counts(spark, d), ["obs_date", "country"], "ip_count", ["ip_id"], 5)
+    out = top_n(durable(_best_counts(spark, d)), ["obs_date", "country"], "ip_count", ["ip_id"], 5)
     return out.select(F.date_format("obs_date", "yyyy-MM-dd").alias("obs_date"), "country", "ip_id", "ip_count", "rank")
 
 
@@ -78,6 +78,12 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_top(spark, d).select("obs_date", "country", "ip_id")
 
 
+def p6_hot(spark: SparkSession, d: str) -> DataFrame:
+    """The same over groups nearly all of which are hot: every one of more than eight rows is split."""
+    out = top_n(durable(_best_counts(spark, d)), ["obs_date", "country"], "ip_count", ["ip_id"], 5, heavy_rows=8)
+    return out.select(F.date_format("obs_date", "yyyy-MM-dd").alias("obs_date"), "country", "ip_id", "ip_count", "rank")
+
+
 def p7_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of hashes that share at least half of the smaller one's observers, with sizes."""
     p = table(spark, d, "peers").select("hash", "ip").where(is_observer("ip"))
@@ -115,7 +121,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return redact(docs, find_personal(docs))
 
 
-QUERIES = {f.__name__: f for f in (p1_matches, p1_found, p5_distinct, p5_day_to_day, p6_top, p6_found, p7_overlap, p7_found, p8_ids, p9_leaks, p9_found, p10_found, p10_redacted)}
+QUERIES = {f.__name__: f for f in (p1_matches, p1_found, p5_distinct, p5_day_to_day, p6_top, p6_found, p6_hot, p7_overlap, p7_found, p8_ids, p9_leaks, p9_found, p10_found, p10_redacted)}
 
 _OBSERVER = "not (starts_with(ip, '_queried_') or starts_with(ip, '_marker_'))"
 _UP = "upper(trim(country, E' \\t\\n\\r'))"
@@ -173,6 +179,7 @@ ORACLE = {
     + "\nunion all "
     + _level("country", "country", "null", "country"),
     "p6_top": _TOP + "select strftime(obs_date, '%Y-%m-%d') as obs_date, country, ip_id, ip_count, rank from r where rank <= 5",
+    "p6_hot": _TOP + "select strftime(obs_date, '%Y-%m-%d') as obs_date, country, ip_id, ip_count, rank from r where rank <= 5",
     "p6_found": _TOP + "select strftime(obs_date, '%Y-%m-%d') as obs_date, country, ip_id from r where rank <= 5",
     "p7_overlap": _PAIRS + "select * from f",
     "p7_found": _PAIRS + "select hash_a, hash_b from f",

@@ -237,12 +237,34 @@ def test_leaks(spark):
     want |= {(503, i) for d, i in want if d == 0} | {(504, i) for d, i in want if d == 0}
     dd = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, item_id int").select("doc_id", "text")
     ii = spark.createDataFrame(items, "item_id long, text string")
-    for block in (4096, 7):
-        got = leak.leaks(dd, ii, block=block).where("longest_run >= 12").collect()
-        assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
-    assert leak.recall_of(12, 0, 1, 6) == 1.0 and leak.tables_for(12, 0, 0.95, 7) == 1
-    assert leak.recall_of(12, 1, leak.tables_for(12, 1, 0.95, 7), 7) >= 0.95
-    assert leak.leaks(dd.limit(0), ii).count() == 0
+    got = leak.leaks(dd, ii).where("longest_run >= 12").collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    named = ii.select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("item_id"), "text")
+    assert {(r.doc_id, r.item_id) for r in leak.leaks(dd, named.union(named)).where("longest_run >= 12").collect()} == {(d, f"i{i}") for d, i in want}
+    assert leak.leaks(dd.limit(0), ii).count() == 0 and leak.leaks(dd, ii.limit(0)).count() == 0
+
+
+def test_leak_runs_and_repeats(spark):
+    item = [f"w{i}" for i in range(40)]
+    texts = {1: item[3:33], 2: [*item[3:14], "x", *item[14:30]], 3: ["y", *item[5:16], "z"], 4: item, 5: item}
+    docs = spark.createDataFrame([(k, " ".join(v)) for k, v in texts.items()] + [(None, " ".join(item[:12]))] * 2, "doc_id int, text string")
+    got = sorted(((r.doc_id or 0, r.edits, r.longest_run) for r in leak.leaks(docs, spark.createDataFrame([("a", " ".join(item))], "item_id string, text string")).collect()))
+    assert got == [(0, 0, 12), (0, 0, 12), (1, 0, 30), (2, 0, 16), (3, 1, 11), (4, 0, 40), (5, 0, 40)]
+
+
+def test_leak_recall(spark):
+    """Tables are taken until every kind of edit is met; checked on windows of the evaluation items."""
+    d = "/root/testdata/sf0.01/eval_items.parquet"
+    if not os.path.exists(d):
+        pytest.skip("no test tables")
+    texts = [r.text for r in spark.read.parquet(d).collect() if r.text]
+    h = [leak.hashes(leak.words(t), {}) for t in texts]
+    w = np.concatenate([np.lib.stride_tricks.sliding_window_view(x, 12) for x in h if len(x) >= 12])
+    rng = np.random.default_rng(1)
+    n = leak.tables_for(w[rng.permutation(len(w))[:1000]], 1, 0.95, 7)
+    other = leak.recall_of(w[rng.permutation(len(w))[:1000]], 1, n, 7)
+    print(n, other)
+    assert min(other.values()) >= 0.93 and leak.tables_for(w, 0, 0.95, 7) == 1
 
 
 # --- problem 10
