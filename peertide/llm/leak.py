@@ -247,8 +247,8 @@ def leaks(
     at max_edits with the wanted `recall`, measured on up to MEASURED windows of the items for every kind of edit; equal
     windows meet in every table, so recall at distance 0 is 1. The items' keys are a stored table; the documents are read once,
     whatever the number of items: windows with fewer than window - max_edits words that items have, and keys that no item
-    has, fall to two bit filters of fixed size, and what is left is joined by key. A key that a large part of the corpus
-    shares is split. Each meeting is verified by the exact edit distance.
+    has, fall to two bit filters of fixed size. Of what is left each different window is joined by key and verified by the
+    exact edit distance once; a window that a large part of the corpus shares is split when documents take up the result.
 
     Null, empty and blank texts and items shorter than the window give no rows; very long texts are cut into no pieces;
     repeated documents each report, repeated items count once; null ids are kept as they are, ids may be of any type.
@@ -309,8 +309,10 @@ def leaks(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     found = spread(docs.select(doc_id, text).where(F.col(text).isNotNull())).mapInArrow(run, f"doc bigint, doc_id {kind}, i int, w array<bigint>, doc_keys array<bigint>")
-    found = durable(found.select("*", F.explode("doc_keys").alias("key")))
-    met = salted_join(found, exploded, ["key"])
+    found = durable(found.withColumn("window", F.xxhash64("w")))
+    # each different window is looked up and verified once, however many documents hold it
+    different = found.groupBy("window").agg(F.first("w").alias("w"), F.first("doc_keys").alias("doc_keys"))
+    met = different.withColumn("key", F.explode("doc_keys")).join(exploded, "key")
     met = met.where(F.array_intersect("doc_keys", "item_keys")[0] == F.col("key"))  # each pair once, where it first meets
 
     def verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,12 +324,13 @@ def leaks(
             ok = np.flatnonzero(dist <= max_edits)
             take = pa.array(ok)
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(c).take(take) for c in ("doc", "doc_id", "item", "item_id", "i", "j")], pa.array(dist[ok].astype(np.int32)), pa.array(common_run(x[ok], y[ok], max_edits))],
-                ["doc", "doc_id", "item", "item_id", "i", "j", "edits", "run"],
+                [*[b.column(c).take(take) for c in ("window", "item", "item_id", "j")], pa.array(dist[ok].astype(np.int32)), pa.array(common_run(x[ok], y[ok], max_edits))],
+                ["window", "item", "item_id", "j", "edits", "run"],
             )
 
-    kinds = f"doc bigint, doc_id {kind}, item bigint, item_id {items.schema[item_id].dataType.simpleString()}, i int, j int, edits int, run int"
-    pairs = met.select("doc", "doc_id", "item", "item_id", "i", "j", "w", "v").mapInArrow(verify, kinds)
+    kinds = f"window bigint, item bigint, item_id {items.schema[item_id].dataType.simpleString()}, j int, edits int, run int"
+    equal = met.select("window", "item", "item_id", "j", "w", "v").mapInArrow(verify, kinds)
+    pairs = salted_join(found.select("doc", "doc_id", "i", "window"), equal, ["window"])
     diagonal = Window.partitionBy("doc", "doc_id", "item", "item_id", F.col("i") - F.col("j")).orderBy("i")
     pairs = pairs.withColumn("island", F.when(F.col("edits") == 0, F.col("i") - F.sum((F.col("edits") == 0).cast("int")).over(diagonal)))
     lengths = pairs.groupBy("doc", "doc_id", "item", "item_id", F.col("i") - F.col("j"), "island").agg(F.min("edits").alias("edits"), F.max("run").alias("run"), F.count(F.lit(1)).cast("int").alias("n"))
