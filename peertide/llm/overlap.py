@@ -9,12 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from peertide.operators.skew import heavy_keys, salted_join
 from peertide.session import durable
 
 #: Identifiers a run holds about; sets are cut into ranges of the identifier space so that no run is much longer.
 RUN = 4096
 #: Partners met by one copy of a run; a set with more partners is copied to several tasks.
-PARTNERS = 2048
+PARTNERS = 256
+#: Levels of rarity: steps per doubling of the number of sets, and parts of a step (by bits of the member).
+STEPS, SHARES = 2, 8
 
 
 def encode(x: np.ndarray) -> bytes:
@@ -99,23 +102,29 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
 
     Candidates lose nothing: to share t of its n members with a larger set, the smaller one must share at least
     p - n + t of any p of its members. The p members taken are its rarest, up to a rarity level at which p > n - t, so
-    members seen nearly everywhere are not probed unless a set has little else. The level comes from a histogram per set;
-    no set is sorted or gathered.
+    members seen nearly everywhere are not probed unless a set has little else. The level comes from a histogram per set
+    with half octaves cut in eight, so that p is close to the fewest possible; no set is sorted or gathered. A set of nothing
+    but common members still meets every set that holds one of the n - t + 1 it probes.
+
+    Joins on a set or a member split hot sets and hot members by rows (see operators.skew).
 
     Each candidate pair is then counted by its runs: a set is cut into ranges of the identifier space of about 4,096 members,
     each a delta-encoded sorted run. A pair's fragments of the smaller set travel to the ranges of the larger one, a run meets
-    at most about 2,048 partners per task, and the counts per pair and range are summed.
+    at most about 256 partners per task, and the counts per pair and range are summed.
 
     Null keys and members take no part, repeats count once, sets under min_size give no rows, an empty table none.
     """
     named = df.select(set_key.alias("name"), member.alias("m")).where("name is not null and m is not null")
     rows = named.select(F.xxhash64("name").alias("s"), F.xxhash64("m").alias("i"))
-    elements = rows.distinct()
-    sizes = elements.groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= min_size)
-    e = elements.join(sizes, "s")
-    # level of rarity: 0 for members of one set only, else the binary order of the number of sets
-    df_ = e.groupBy("i").agg(F.count(F.lit(1)).alias("d")).where("d > 1").select("i", F.floor(F.log2("d")).cast("int").alias("level"))
-    common = durable(e.join(df_, "i"))  # members of one set only cannot be shared
+    elements = durable(rows.distinct())
+    sizes = durable(elements.groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= min_size))
+    hot_sets = heavy_keys(sizes, ["s"])  # as it is, for every join on a set below
+    e = salted_join(elements, sizes, ["s"], heavy=hot_sets)
+    # members of one set only cannot be shared; the others get a level of rarity by the number of their sets
+    sets_of = durable(e.groupBy("i").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    level = (F.floor(F.log2("n") * STEPS) * SHARES + F.pmod("i", F.lit(SHARES))).cast("int")
+    common = salted_join(e, sets_of.select("i", level.alias("level")), ["i"], heavy=heavy_keys(sets_of, ["i"]))
+    common = durable(common.select("s", "i", "n", "level"))
     need = F.ceil(F.col("n") * F.lit(min_share))
     hist = common.groupBy("s", "n", "level").agg(F.count(F.lit(1)).alias("c"))
     total = Window.partitionBy("s")
@@ -129,11 +138,11 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
         .agg(F.min(F.struct("level", "p", "n")).alias("m"))
         .select(F.col("s"), F.col("m.level").alias("top"), (F.col("m.p") - F.col("m.n") + F.col("t")).alias("k"))
     )
-    probe = common.join(cut, "s").where("level <= top").select("i", F.col("s").alias("a"), F.col("n").alias("n_a"), "k")
+    probe = salted_join(common, cut, ["s"], heavy=hot_sets).where("level <= top").select("i", F.col("s").alias("a"), F.col("n").alias("n_a"), "k")
     other = common.select("i", F.col("s").alias("b"), F.col("n").alias("n_b"))
     larger = (F.col("n_b") > F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("b") > F.col("a")))
     cand = (
-        probe.join(other, "i").where(larger).groupBy("a", "b", "n_a", "n_b", "k").agg(F.count(F.lit(1)).alias("c")).where("c >= k")
+        salted_join(other, probe, ["i"], heavy=heavy_keys(sets_of, ["i"])).where(larger).groupBy("a", "b", "n_a", "n_b", "k").agg(F.count(F.lit(1)).alias("c")).where("c >= k")
     )
     cand = durable(cand)
     cand = cand.withColumn("bits", _ranges(F.col("n_b"))).select("a", "b", "n_a", "n_b", "bits")
@@ -142,12 +151,12 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
 
     # runs of the larger side, and the fragments of the smaller side cut at the larger side's ranges
     wanted = cand.select(F.col("b").alias("s"), "copies").distinct()
-    big = common.join(wanted, "s").withColumn("bits", _ranges(F.col("n")))
+    big = salted_join(common, wanted, ["s"], heavy=hot_sets).withColumn("bits", _ranges(F.col("n")))
     runs = big.groupBy(F.col("s").alias("b"), _range_of(F.col("i"), F.col("bits")).alias("r"), "copies").agg(F.collect_list("i").alias("ids"))
     runs = runs.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies").cast("bigint") - 1)))
     fragments = (
-        common.select(F.col("s").alias("a"), "i")
-        .join(cand.select("a", "b", "bits", "copy"), "a")
+        salted_join(common.select("s", "i"), cand.select(F.col("a").alias("s"), "b", "bits", "copy"), ["s"], heavy=hot_sets)
+        .withColumnRenamed("s", "a")
         .groupBy("b", _range_of(F.col("i"), F.col("bits")).alias("r"), "copy", "a")
         .agg(F.collect_list("i").alias("ids"))
     )

@@ -7,125 +7,16 @@ transitivity is enforced inside expectation-maximisation; the result is a poster
 from __future__ import annotations
 
 import itertools
-import re
-import unicodedata
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from peertide.functions.release import with_parsed
+from peertide.operators.skew import salted_join
 from peertide.session import durable, spread
 
-#: Words that carry no identity in a title.
-STOP = frozenset("the a an and of for in on to at by film series tv anime movie".split())
-#: Technical words of release names; where the first one stands, the title has ended.
-TECH = re.compile(
-    r"\b(?:\d{3,4}[pi]|4k|uhd|web|webrip|webdl|web dl|hdtv|hdrip|dvdrip|bdrip|brrip|bluray|blu ray|dvd|remux|cam|amz|nf|multi|"
-    r"dual|x26[45]|h ?26[45]|hevc|avc|xvid|divx|av1|aac|dts|ac3|flac|10bit|repack|proper)\b"
-)
-_YEAR = re.compile(r"\b(?:19[3-9]\d|20[0-4]\d)\b")
-_EPISODE = re.compile(r"\bs\d{1,2}(?: ?e\d{1,3})?\b|\b\d{1,2}x\d{1,3}\b|\bseason \d{1,2}\b|\bepisode \d{1,4}\b|\bep ?\d{1,4}\b")
-_FANSUB = re.compile(r" - \d{1,4}(?:v\d)?\b")
-_NOISE = re.compile(r"^[0-9a-f]{16,}$|^img[ _]\d|\bcollection \d+ files\b|\bfiles pack\b|\bdiscography\b|\bsetup v?\d")
-_SUFFIX = re.compile(r"\.(?:mkv|mp4|avi|ts|zip|rar|iso|exe|mov|wmv)$")
-_ROMAN = {r: i for i, r in enumerate("ii iii iv v vi vii viii ix x".split(), 2)}
-
-
-def fold(s: str) -> str:
-    """Lower case without accents."""
-    s = unicodedata.normalize("NFKD", s)
-    return "".join(c for c in s if not unicodedata.combining(c)).casefold()
-
-
-def title_key(s: str) -> tuple[str, int]:
-    """(content words, number in its series): words without articles and joining words; a number or Roman numeral at the end
-    is the work's number, 1 if there is none."""
-    w = [x for x in re.findall(r"[^\W_]+", fold(s))]
-    number = 1
-    if len(w) > 1:
-        if w[-1] in _ROMAN:
-            number = _ROMAN[w.pop()]
-        elif w[-1].isdigit() and len(w[-1]) <= 2:
-            number = max(1, int(w.pop()))
-    return " ".join(x for x in w if x not in STOP), number
-
-
-def parse_release(raw: str | None) -> tuple[str | None, int | None, int | None, str | None]:
-    """(content words, number, year, kind) of a release name; nulls where it is noise or says nothing."""
-    if not raw or not raw.strip():
-        return None, None, None, None
-    s = _SUFFIX.sub("", fold(raw).strip())
-    flat = re.sub(r"[._]+", " ", s)
-    if _NOISE.search(flat):
-        return None, None, None, None
-    kind = None
-    fansub = re.match(r"\s*\[[^\]]*\][ _]*", s)
-    if fansub:
-        flat = re.sub(r"[._]+", " ", s[fansub.end() :]).lstrip(" -")
-        if _FANSUB.search(flat) and "." not in fansub.group():
-            kind = "anime"
-    ends = []
-    year = None
-    lead = re.match(r"\s*(\d{4})?\s?(s\d{1,2}(?: ?e\d{1,3})?|\d{1,2}x\d{1,3}|season \d{1,2})?\s?- ", flat)
-    if lead and (lead.group(1) or lead.group(2)) and (not lead.group(1) or _YEAR.fullmatch(lead.group(1))):
-        year = int(lead.group(1)) if lead.group(1) else None
-        kind = "series" if lead.group(2) else kind
-        flat = flat[lead.end() :]
-    flat = re.sub(r"[\[\](){},]", " | ", flat)
-    spaced = re.sub(r"-", " ", flat)  # same length, so that places agree
-    if m := TECH.search(spaced):
-        ends.append(m.start())
-    if m := _EPISODE.search(flat):
-        ends.append(m.start())
-        if kind is None:
-            kind = "anime" if flat[m.start() : m.start() + 2] == "ep" else "series"
-    if kind == "anime" and (m := _FANSUB.search(flat)):
-        ends.append(m.start())
-    if year is None:
-        for m in _YEAR.finditer(flat):
-            if flat[: m.start()].strip(" |-"):
-                year = int(m.group())
-                ends.append(m.start())
-                break
-    bar = flat.find("|", 1)
-    if bar > 0 and flat[:bar].strip():
-        ends.append(bar)
-    name, number = title_key(flat[: min(ends)] if ends else flat)
-    if not name or re.fullmatch(r"[0-9a-f]{8,}", name.replace(" ", "")) and any(c.isdigit() for c in name):
-        return None, None, year, kind
-    return name, number, year, kind
-
-
-def clean_title(t: str | None) -> tuple[str | None, int | None]:
-    if not t or not t.strip():
-        return None, None
-    s = fold(t).strip()
-    if _NOISE.search(s):
-        return None, None
-    name, number = title_key(s)
-    return (name, number) if name else (None, None)
-
-
-def _mentions(df: DataFrame) -> DataFrame:
-    """Adds the parsed attributes of raw_name and title."""
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in it:
-            r = [parse_release(x) for x in b.raw_name]
-            t = [clean_title(x) for x in b.title]
-            b["r_name"], b["t_name"] = [x[0] for x in r], [x[0] for x in t]
-            b["r_no"] = pd.array([x[1] for x in r], "Int32")
-            b["t_no"] = pd.array([x[1] for x in t], "Int32")
-            b["year"] = pd.array([x[2] for x in r], "Int32")
-            b["r_kind"] = [x[3] for x in r]
-            yield b.drop(columns=["raw_name", "title"])
-
-    rest = [f"{c} {k}" for c, k in df.dtypes if c not in ("raw_name", "title")]
-    return df.mapInPandas(run, ", ".join([*rest, "r_name string", "t_name string", "r_no int", "t_no int", "year int", "r_kind string"]))
-
-
 def imdb_number(c: Column) -> Column:
     """Seven or more digits of the identifier; junk words, 0 and blanks are null."""
     return F.nullif(F.regexp_extract(F.lower(F.coalesce(c, F.lit(""))), r"(?:^|tt)\s*0*([1-9]\d{5,})\s*$", 1), F.lit(""))
@@ -138,52 +29,83 @@ def _edits1(name: str) -> Column:
     return F.explode(F.array_distinct(F.array_append(cut, c)))
 
 
-def _block_keys(names: DataFrame, vocabulary: DataFrame, rare: int) -> DataFrame:
-    """(name, key): for each name the rare catalogue words it holds or nearly holds and the name as a whole. Names of frequent
-    words alone would meet in large groups on any one of them: their keys are all of these words together and all but one of
-    them, two words at least, so that one word may be missing or broken on either side."""
-    words = names.select("name", F.explode(F.array_distinct(F.split("name", " "))).alias("word"))
-    distinct = words.select("word").distinct()
+def near_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(word, to, n): the vocabulary words (word, n) that each word equals, or comes within one edit or one exchange of
+    neighbours of, if it has five letters or more. Words meet by what is left when one letter is dropped."""
 
     def letters(c: str) -> Column:
         return F.array_sort(F.split(c, ""))
 
-    gap = F.levenshtein("word", "to")
-    near = (
-        distinct.select("word", _edits1("word").alias("part"))
-        .join(vocabulary.select(F.col("word").alias("to"), "n", _edits1("word").alias("part")), "part")
-        .select("word", "to", "n")
-        .where((F.length("word") >= 5) | (F.col("word") == F.col("to")))
-        .where((gap <= 1) | ((gap == 2) & (letters("word") == letters("to"))))
-        .distinct()
-    )
-    known = near.where("word = to and n > %d" % rare).select("word", F.lit(True).alias("is_frequent"))
-    near = near.join(known, "word", "left").where(F.col("is_frequent").isNull() | (F.col("word") == F.col("to")))
-    hit = words.join(near.select("word", "to", "n"), "word").select("name", "to", "n").distinct()
-    single = hit.where(F.col("n") <= rare).select("name", F.concat(F.lit("1:"), "to").alias("key"))
-    sets = hit.groupBy("name").agg(F.array_sort(F.collect_set("to")).alias("w"), F.min("n").alias("least")).where(F.col("least") > rare)
-    parts = F.expr(
-        "filter(concat(array(w), transform(w, x -> array_remove(w, x))), p -> size(p) >= 2)"
-    )
-    several = sets.select("name", F.explode(F.transform(parts, lambda p: F.concat(F.lit("2:"), F.array_join(p, " ")))).alias("key"))
-    whole = names.select("name", F.concat(F.lit("0:"), F.array_join(F.array_sort(F.split("name", " ")), " ")).alias("key"))
-    return single.unionByName(several).unionByName(whole).distinct()
-
-
-#: Feature order of the similarity vector: similarity (0..10) of the release's name, or of its title where that says nothing,
+    gap = F.levenshtein("word", "to", 2)
+    known = vocabulary.select(F.col("word").alias("to"), "n")
+    equal = words.join(known, F.col("word") == F.col("to")).select("word", "to", "n")
+    long = words.where(F.length("word") >= 5).select("word", _edits1("word").alias("part"))
+    close = long.join(known.where(F.length("to") >= 4).select("to", "n", _edits1("to").alias("part")), "part").where("word != to").select("word", "to", "n").distinct()
+    close = close.where((gap == 1) | ((gap == 2) & (letters("word") == letters("to"))))
+    return equal.unionByName(close)
+
+
+def candidates(names: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(name, c_name): every pair of a name and a catalogue name of which the shorter one in different words (the
+    catalogue's, if they are equal) finds all of them in the other; words count as found when they are equal or near (see near_words). Nothing is left out for being
+    frequent. Names of like length that lack a word of each other are left out: they are too far apart to be one work.
+
+    Both arguments have one column `name`, distinct. The pairs are found without comparing all: the shorter name is posted under
+    its two rarest words together (or its only one) and looked up under the pairs of the other's words, once with the
+    catalogue and once with the name as the shorter. What meets is settled by counting words. Keys of many names are split.
+    """
+    c_words = catalog.select(F.col("name").alias("c_name"), F.array_distinct(F.split("name", " ")).alias("c"))
+    vocabulary = c_words.select(F.explode("c").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = names.select("name", F.posexplode(F.array_distinct(F.split("name", " "))).alias("at", "word"))
+    near = durable(near_words(words.select("word").distinct(), vocabulary))
+    by_word = near.groupBy("word").agg(F.min("n").alias("n"), F.collect_list("to").alias("to"))
+    left = words.join(by_word, "word", "left").groupBy("name").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", F.coalesce("to", F.array()).alias("to")))).alias("a"))
+    left = durable(left)  # (name, its words' counterparts, rarest first)
+    freq = c_words.select("c_name", F.explode("c").alias("word")).join(vocabulary, "word")
+    right = durable(freq.groupBy("c_name").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"]).alias("c")))
+
+    # one word: itself; more: pairs of different places
+    two_left = "flatten(transform({a}, (x, i) -> flatten(transform(slice({a}, i + 2, size({a})), y -> flatten(transform(x.to, p -> transform(y.to, q -> concat(least(p, q), ' ', greatest(p, q)))))))))"
+    two_right = "flatten(transform({a}, (x, i) -> transform(slice({a}, i + 2, size({a})), y -> concat(least(x, y), ' ', greatest(x, y)))))"
+    one_left, one_right = "flatten(transform({a}, x -> x.to))", "{a}"
+
+    def posted(df: DataFrame, id_: str, words_: str, one: str, two: str) -> DataFrame:
+        short = f"case when size({words_}) = 1 then {one.format(a=words_)} else {two.format(a=f'slice({words_}, 1, 2)')} end"
+        return df.select(id_, words_, F.explode(F.array_distinct(F.expr(short))).alias("key"))
+
+    def looked_up(df: DataFrame, id_: str, words_: str, one: str, two: str) -> DataFrame:
+        return df.select(id_, words_, F.explode(F.array_distinct(F.expr(f"concat({one.format(a=words_)}, {two.format(a=words_)})"))).alias("key"))
+
+    l, r = (left, "name", "a", one_left, two_left), (right, "c_name", "c", one_right, two_right)
+    of_right = F.expr("forall(c, y -> exists(a, x -> array_contains(x.to, y)))")
+    of_left = F.expr("forall(a, x -> arrays_overlap(x.to, c))")
+    shorter_right = salted_join(durable(looked_up(*l)), posted(*r), ["key"]).where(F.expr("size(c) <= size(a)") & of_right)
+    shorter_left = salted_join(durable(posted(*l)), looked_up(*r), ["key"]).where(F.expr("size(a) < size(c)") & of_left)
+    return shorter_right.select("name", "c_name").unionByName(shorter_left.select("name", "c_name")).distinct()
+
+
+#: Order of the similarity vector: similarity (0..10) of the release's name, or of its title where that says nothing,
 #: and of the title beside a release name; year (0 differs, 3 one off, 4 same),
 #: number, kind and imdb (0 differs, 1 same); -1 where an attribute is missing.
 FEATURES = ("f_name", "f_title", "f_year", "f_no", "f_kind", "f_imdb")
 _SCALE = np.array([10.0, 10.0, 4.0, 1.0, 1.0, 1.0])
-#: Variance added to each feature in the matched and in the unmatched component. A Gaussian takes the rare agreement of two
-#: strangers in a yes-or-no attribute for impossible, so those are widened; titles and imdb numbers are wrong more often than release names.
-_RIDGE = np.array([[0.008, 0.09, 0.02, 0.02, 0.03, 0.18], [0.04, 0.06, 0.12, 0.12, 0.12, 0.06]])
-#: Largest variance of the matched component before the ridge. Its mean is drawn halfway towards full agreement; without
-#: both, the two components may end up separating numbers or kinds in place of works.
-_SPREAD = np.array([0.012, 0.1, 0.012, 0.02, 0.03, 0.1])
+_LEVELS = (12, 12, 6, 3, 3, 3)  # of each feature, -1 included
 _GROUPS = ((0, 1), (2,), (3,), (4,), (5,))  # only the names co-vary; all else is independent
 
 
+@dataclass(frozen=True)
+class Prior:
+    """Normal-inverse-Wishart prior of both components, the same for every attribute: what regularises the mixture.
+
+    weight: pairs imagined beside the seen ones, as a share of them. They have full agreement as their mean in the matched component and the
+    mean of all pairs in the unmatched one, and the deviation `spread` (of a scale from 0 to 1) in both: at 0.5, the largest a
+    value between 0 and 1 can have, they say nothing about it.
+    """
+
+    weight: float = 0.1
+    spread: float = 0.5
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Similarity in tenths, best of both word orders: the smaller of the share of letters kept and of 1 less 0.15 for each
     edit, since a long shared word makes two works no more alike; -1 if one name is missing."""
@@ -203,54 +125,101 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 class Mixture:
-    """Two Gaussians over similarity vectors with missing parts, weighted rows, block-diagonal regularised covariances."""
+    """Two Gaussians over similarity vectors with missing parts, weighted rows, block-diagonal covariances, fitted to the largest
+    posterior under a Prior. Each step of `fit_step` after `posterior` is a step of expectation-maximisation (missing parts are
+    filled in by their expectation), so `objective` never falls while responsibilities are left as they come."""
 
-    def __init__(self, x: np.ndarray, n: np.ndarray):
+    def __init__(self, x: np.ndarray, n: np.ndarray, prior: Prior = Prior()):
         self.x = np.where(x < 0, np.nan, x / _SCALE)
         self.n = n.astype(float)
-        seen = ~np.isnan(self.x)
-        names = np.nanmax(np.where(seen[:, :2], self.x[:, :2], 0), axis=1)
-        rest = np.where(seen[:, 2:], self.x[:, 2:], 0.5).min(axis=1)
+        self.prior = prior
+        self.seen = ~np.isnan(self.x)
+        every = np.array([np.average(self.x[s, j], weights=self.n[s]) if (s := self.seen[:, j]).any() else 0.5 for j in range(len(FEATURES))])
+        self.centre = np.ones(len(FEATURES)), every
+        names = np.nanmax(np.where(self.seen[:, :2], self.x[:, :2], 0), axis=1)
+        rest = np.where(self.seen[:, 2:], self.x[:, 2:], 0.5).min(axis=1)
         self.g = np.where((names >= 0.9) & (rest >= 0.5), 0.95, 0.05)  # a start, not a label
+        self.pi = 0.5
+        self.params = [(c, np.eye(len(FEATURES)) * prior.spread**2) for c in self.centre]
 
     def fit_step(self, g: np.ndarray) -> None:
-        self.pi = float((self.n * g).sum() / self.n.sum())
-        self.pi = min(max(self.pi, 1e-4), 1 - 1e-4)
-        self.params = []
-        seen = ~np.isnan(self.x)
-        for w, ridge in zip((self.n * g, self.n * (1 - g)), _RIDGE, strict=True):
-            mean = np.array([np.average(self.x[seen[:, j], j], weights=w[seen[:, j]] + 1e-12) if seen[:, j].any() else 0.5 for j in range(len(FEATURES))])
-            cov = np.zeros((len(FEATURES),) * 2)
-            for block in _GROUPS:
-                for j, k in itertools.product(block, block):
-                    both = seen[:, j] & seen[:, k]
-                    if both.any():
-                        cov[j, k] = np.average((self.x[both, j] - mean[j]) * (self.x[both, k] - mean[k]), weights=w[both] + 1e-12)
-            if not self.params:  # the matched component: near full agreement and of limited spread
-                mean = (mean + 1) / 2
-                shrink = np.sqrt(np.minimum(1, _SPREAD / np.maximum(np.diag(cov), 1e-9)))
-                cov = cov * np.outer(shrink, shrink)
-            self.params.append((mean, cov + np.diag(ridge)))
+        """The largest posterior of the parameters given responsibilities, from the parameters before."""
+        total = self.n.sum()
+        imagined = self.prior.weight * total
+        self.pi = float(((self.n * g).sum() + imagined) / (total + 2 * imagined))
+        new = []
+        for k, w in enumerate((self.n * g, self.n * (1 - g))):
+            mean, cov = self.params[k][0].copy(), np.zeros((len(FEATURES),) * 2)
+            for block in map(list, _GROUPS):
+                mu, sigma = self.params[k][0][block], self.params[k][1][np.ix_(block, block)]
+                any_ = self.seen[:, block].any(axis=1)
+                full = np.where(self.seen[:, block], self.x[:, block], mu)
+                extra = np.zeros((len(block),) * 2)
+                if len(block) == 2:
+                    for a, b in ((0, 1), (1, 0)):  # seen, missing
+                        only = self.seen[:, block[a]] & ~self.seen[:, block[b]]
+                        slope = sigma[a, b] / sigma[a, a]
+                        full[only, b] = mu[b] + slope * (full[only, a] - mu[a])
+                        extra[b, b] += w[only].sum() * (sigma[b, b] - slope * sigma[a, b])
+                w_, f = w[any_], full[any_]
+                size = w_.sum()
+                m0 = self.centre[k][block]
+                m = ((w_[:, None] * f).sum(axis=0) + imagined * m0) / (size + imagined)
+                d, d0 = f - m, m0 - m
+                scatter = (w_[:, None] * d).T @ d + extra + imagined * np.outer(d0, d0) + imagined * self.prior.spread**2 * np.eye(len(block))
+                mean[block] = m
+                cov[np.ix_(block, block)] = scatter / (size + imagined)
+            new.append((mean, cov))
+        self.params = new
+
+    def _logs(self) -> np.ndarray:
+        out = np.log([[self.pi], [1 - self.pi]]) * np.ones(len(self.x))
+        for k, (mean, cov) in enumerate(self.params):
+            for block in map(list, _GROUPS):
+                for pattern in itertools.product((False, True), repeat=len(block)):
+                    rows = np.flatnonzero((self.seen[:, block] == pattern).all(axis=1))
+                    dims = [b for b, p in zip(block, pattern, strict=True) if p]
+                    if len(rows) and dims:
+                        c = cov[np.ix_(dims, dims)]
+                        d = self.x[np.ix_(rows, dims)] - mean[dims]
+                        out[k, rows] -= 0.5 * (np.linalg.slogdet(2 * np.pi * c)[1] + np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d))
+        return out
 
     def posterior(self) -> np.ndarray:
-        seen = ~np.isnan(self.x)
-        out = np.empty((2, len(self.x)))
-        code = seen @ (1 << np.arange(len(FEATURES)))
-        for p in np.unique(code):
-            rows, dims = np.flatnonzero(code == p), np.flatnonzero(seen[np.flatnonzero(code == p)[0]])
-            for k, (mean, cov) in enumerate(self.params):
-                prior = np.log(self.pi if k == 0 else 1 - self.pi)
-                if not len(dims):
-                    out[k, rows] = prior
-                    continue
-                c = cov[np.ix_(dims, dims)]
-                d = self.x[np.ix_(rows, dims)] - mean[dims]
-                out[k, rows] = prior - 0.5 * (np.linalg.slogdet(c)[1] + np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d))
+        out = self._logs()
         return 1 / (1 + np.exp(np.clip(out[1] - out[0], -50, 50)))
 
+    def objective(self) -> float:
+        """Log likelihood of the pairs and of the imagined ones: what the steps raise."""
+        imagined = self.prior.weight * self.n.sum()
+        value = float((self.n * np.logaddexp(*self._logs())).sum()) + imagined * (np.log(self.pi) + np.log(1 - self.pi))
+        for k, (mean, cov) in enumerate(self.params):
+            for block in map(list, _GROUPS):
+                c, d0 = cov[np.ix_(block, block)], self.centre[k][block] - mean[block]
+                inv = np.linalg.inv(c)
+                value -= 0.5 * imagined * (np.linalg.slogdet(c)[1] + d0 @ inv @ d0 + self.prior.spread**2 * np.trace(inv))
+        return value
+
+    def fit(self, steps: int = 200, least: float = 1e-7) -> None:
+        """Steps until the objective rises by less than the share `least`, from the responsibilities at hand."""
+        self.fit_step(self.g)
+        before = -np.inf
+        for _ in range(steps):
+            self.g = self.posterior()
+            self.fit_step(self.g)
+            now = self.objective()
+            if now - before <= least * abs(now):
+                break
+            before = now
+        self.g = self.posterior()
+
+
+#: Posterior under which a pair is left out of the search for contradictions: it stands for nothing either way.
+LIVE = 0.01
+
 
 def match(
-    hashes: DataFrame, catalog: DataFrame, *, rare: int = 40, rounds: int = 4, inner: int = 25, threshold: float = 0.5
+    hashes: DataFrame, catalog: DataFrame, *, rounds: int = 3, settled: float = 1e-3, threshold: float = 0.5, prior: Prior = Prior()
 ) -> DataFrame:
     """(hash, catalog_ip_id, confidence) for pairs with a posterior of at least `threshold`.
 
@@ -258,13 +227,15 @@ def match(
     release_date.
 
     Rows of hashes with the same parsed attributes are one mention, so a title that holds a third of all rows is compared
-    once. Candidates share a rare word within one edit, all but one of their frequent words, or the whole name. Their similarity vectors
-    lie on a grid of at most 12 x 12 x 4 x 3 x 3 x 3 points; the mixture is fitted on the counts per point, which are all that
-    reaches the driver.
+    once; where mentions meet their candidates and hashes their mentions, hot keys are split. Candidates: see `candidates`. Their
+    similarity vectors lie on a grid of at most 12 x 12 x 6 x 3 x 3 x 3 points; the mixture is fitted on the counts per point,
+    which are all that reaches the driver.
 
     Transitivity: two catalogue entries can both stand for a mention only if they match each other. In each round the
-    posterior of a candidate is held below that of the match between it and the mention's best candidate, and the mixture is
-    fitted again to the posteriors so held.
+    posterior of a candidate is held below that of the match between it and the mention's best candidate, the matches within
+    the catalogue are held to the same rule among themselves, and the mixture is fitted again to the posteriors so held, until
+    no grid point's moves by more than `settled` or after `rounds`. Only pairs of a posterior over LIVE can contradict each other, so
+    only they are moved for it.
 
     Null and noisy attributes are missing, not different; a hash without any name gets no match; repeated rows count once; ties
     between different works share the posterior and stay under the threshold; empty tables give no rows.
@@ -273,7 +244,7 @@ def match(
     kind = F.coalesce(*[F.when(F.col("category") == k, v) for k, v in kinds.items()])
     h = hashes.select("hash", "raw_name", "title", imdb_number(F.col("imdb_id")).alias("imdb"), kind.alias("c_kind")).where("hash is not null")
     attrs = ["r_name", "t_name", "r_no", "t_no", "year", "kind", "imdb"]
-    h = _mentions(spread(h)).withColumn("kind", F.coalesce("c_kind", "r_kind")).select("hash", *attrs).distinct()
+    h = with_parsed(spread(h)).withColumn("kind", F.coalesce("c_kind", "r_kind")).select("hash", *attrs).distinct()
     h = durable(h.withColumn("m", F.xxhash64(*[F.coalesce(F.col(a).cast("string"), F.lit("\x00")) for a in attrs])))
     mention = h.select("m", *attrs).where("coalesce(r_name, t_name) is not null").distinct()
 
@@ -285,81 +256,95 @@ def match(
         imdb_number(F.col("imdb_id")).alias("imdb"),
         F.try_to_number(F.substring("release_date", 1, 4), F.lit("9999")).cast("int").alias("c_year"),
     ).where("ip_id is not null")
-    c = _mentions(c).select("cid", F.col("t_name").alias("name"), F.col("t_no").alias("no"), F.col("c_year").alias("year"), "kind", "imdb").where("name is not null").distinct()
+    c = with_parsed(c).select("cid", F.col("t_name").alias("name"), F.col("t_no").alias("no"), F.col("c_year").alias("year"), "kind", "imdb").where("name is not null").distinct()
     c = durable(c)
-    vocabulary = c.select("cid", F.explode(F.array_distinct(F.split("name", " "))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
     names = mention.select(F.explode(F.array_distinct(F.array("r_name", "t_name"))).alias("name")).where("name is not null")
     names = names.union(c.select("name")).distinct()
-    keys = durable(_block_keys(names, vocabulary, rare))
-    by_name = keys.join(keys.join(c.select("name").distinct(), "name").select(F.col("name").alias("c_name"), "key"), "key").select("name", "c_name").distinct()
-    by_name = durable(by_name)
-
-    right = c.select("cid", F.col("name").alias("c_name"), F.col("no").alias("c_no"), F.col("year").alias("c_year"), F.col("kind").alias("c_kind"), F.col("imdb").alias("c_imdb"))
+    by_name = durable(candidates(names, c.select("name").distinct()))
+    right = by_name.join(c.select("cid", F.col("name").alias("c_name"), F.col("no").alias("c_no"), F.col("year").alias("c_year"), F.col("kind").alias("c_kind"), F.col("imdb").alias("c_imdb")), "c_name")
 
     def same(a: Column, b: Column) -> Column:
         return F.when(a.isNull() | b.isNull(), F.lit(-1)).otherwise((a == b).cast("int"))
 
-    def vectors(left: DataFrame, own: list[str]) -> DataFrame:
+    def vectors(left: DataFrame) -> DataFrame:
+        """(m, cid, point): candidate pairs with the number of their grid point."""
         gap = F.abs(F.col("year") - F.col("c_year"))
         f_year = F.when(gap.isNull(), F.lit(-1)).when(gap == 0, F.lit(4)).when(gap == 1, F.lit(3)).otherwise(F.lit(0))
-        cand = left.select(*own, "r_name", "t_name", F.explode(F.array_distinct(F.array("r_name", "t_name"))).alias("name"), "r_no", "t_no", "year", "kind", "imdb")
-        cand = cand.where("name is not null").join(by_name, "name").drop("name").distinct().join(right, "c_name")
+        cand = left.select("m", *attrs, F.explode(F.array_distinct(F.array("r_name", "t_name"))).alias("name")).where("name is not null")
+        cand = salted_join(cand, right, ["name"]).drop("name")
+        cand = cand.dropDuplicates(["m", "cid"])
         same_name = F.col("r_name") == F.col("t_name")
         # first the similarities on their own: each is used several times below
         cand = cand.withColumn("f_raw", similarity(F.col("r_name"), F.col("c_name")))
         cand = cand.withColumn("f_own", F.when(same_name, F.col("f_raw")).otherwise(similarity(F.col("t_name"), F.col("c_name"))))
         number = F.when(F.col("f_raw") >= F.col("f_own"), F.col("r_no")).otherwise(F.col("t_no"))
         no_raw = F.col("r_name").isNull()
-        return cand.select(
-            *own, "cid", F.when(no_raw, F.col("f_own")).otherwise(F.col("f_raw")).alias("f_name"),
-            F.when(no_raw, F.lit(-1)).otherwise(F.col("f_own")).alias("f_title"), f_year.alias("f_year"),
-            same(F.coalesce(number, F.col("r_no"), F.col("t_no")), F.col("c_no")).alias("f_no"),
-            same(F.col("kind"), F.col("c_kind")).alias("f_kind"), same(F.col("imdb"), F.col("c_imdb")).alias("f_imdb"),
-        )
-
-    pairs = durable(vectors(mention, ["m"]))
-    twin = c.select(F.col("cid").alias("x"), F.col("name").alias("r_name"), F.lit(None).cast("string").alias("t_name"), F.col("no").alias("r_no"), F.lit(None).cast("int").alias("t_no"), "year", "kind", "imdb")
-    twins = durable(vectors(twin, ["x"]).where("x != cid"))
-
-    grid = pairs.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n")).collect()
+        f = [
+            F.when(no_raw, F.col("f_own")).otherwise(F.col("f_raw")), F.when(no_raw, F.lit(-1)).otherwise(F.col("f_own")), f_year,
+            same(F.coalesce(number, F.col("r_no"), F.col("t_no")), F.col("c_no")), same(F.col("kind"), F.col("c_kind")), same(F.col("imdb"), F.col("c_imdb")),
+        ]
+        point = F.lit(0)
+        for value, levels in zip(f, _LEVELS, strict=True):
+            point = point * levels + value + 1
+        return cand.select("m", "cid", point.cast("int").alias("point"))
+
+    pairs = durable(vectors(mention))
+    none = [F.lit(None).cast(t).alias(a) for a, t in (("t_name", "string"), ("t_no", "int"))]
+    twin = c.select(F.xxhash64("cid").alias("m"), F.col("name").alias("r_name"), F.col("no").alias("r_no"), "year", "kind", "imdb", *none)
+    twins = durable(vectors(twin).where(F.col("m") != F.xxhash64("cid")))
+
+    grid = pairs.groupBy("point").agg(F.count(F.lit(1)).alias("n")).collect()
     schema = "hash string, catalog_ip_id string, confidence double"
     if not grid:
         return hashes.sparkSession.createDataFrame([], schema)
-    x = np.array([r[: len(FEATURES)] for r in grid], float)
-    model = Mixture(x, np.array([r.n for r in grid]))
-    for _ in range(inner):
-        model.fit_step(model.g)
-        model.g = model.posterior()
-
-    twin_grid = twins.select(*FEATURES).distinct().collect()
-
-    def points(rows: list) -> DataFrame:
-        """The posterior of each grid point, at most the size of the grid."""
-        v = np.array([r[: len(FEATURES)] for r in rows], float).reshape(-1, len(FEATURES))
-        probe = Mixture.__new__(Mixture)
-        probe.x, probe.pi, probe.params = np.where(v < 0, np.nan, v / _SCALE), model.pi, model.params
-        p = probe.posterior() if len(v) else []
-        data = [(*map(int, a), float(b)) for a, b in zip(v, p, strict=True)]
-        return F.broadcast(hashes.sparkSession.createDataFrame(data, ", ".join(f"{f} int" for f in FEATURES) + ", p double"))
-
-    def held() -> DataFrame:
-        """Pairs with their posterior, held to transitivity with the mention's best candidate."""
-        p = pairs.join(points(grid), list(FEATURES))
+    point = np.array([r.point for r in grid])
+    model = Mixture(vectors_of(point), np.array([r.n for r in grid]), prior)
+    model.fit()
+    twin_point = np.array([r.point for r in twins.select("point").distinct().collect()], int)
+
+    def live(df: DataFrame, points: np.ndarray) -> DataFrame:
+        """Pairs of a posterior over LIVE, with it; at most the size of the grid is broadcast."""
+        probe = Mixture(vectors_of(points), np.ones(len(points)), prior)
+        probe.pi, probe.params = model.pi, model.params
+        rows = [(int(a), float(b)) for a, b in zip(points, probe.posterior() if len(points) else [], strict=True) if b >= LIVE]
+        return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, "point int, p double")), "point")
+
+    def held(df: DataFrame, points: np.ndarray, q: DataFrame) -> DataFrame:
+        """Live pairs with their posterior held to transitivity with their best candidate: (m, cid, point, p, g)."""
         best = Window.partitionBy("m").orderBy(F.desc("p"), "cid")
-        p = p.withColumn("top", F.first("cid").over(best)).withColumn("rank", F.row_number().over(best))
-        tied = p.withColumn("second", F.max(F.when(F.col("rank") == 2, F.col("p"))).over(Window.partitionBy("m")))
-        t = twins.join(points(twin_grid), list(FEATURES)).select(F.col("x").alias("top"), "cid", F.col("p").alias("q"))
-        j = tied.join(t, ["top", "cid"], "left").withColumn("q", F.coalesce("q", F.lit(0.0)))
-        # another entry may not be likelier than its match with the best one; an equal rival that is another work halves both
-        rivals = j.withColumn("rival", F.max(F.when((F.col("rank") > 1) & (F.col("q") < 0.5), F.col("p")).otherwise(0.0)).over(Window.partitionBy("m")))
-        mine = F.when(F.col("cid") == F.col("top"), F.col("p") * F.col("p") / (F.col("p") + F.when(F.col("rival") >= F.col("p") - 1e-9, F.col("rival")).otherwise(0.0)))
-        return rivals.withColumn("g", mine.otherwise(F.least("p", "q", F.when(F.col("rival") >= F.first("p").over(best) - 1e-9, F.lit(0.5) * F.col("p")).otherwise(F.col("p")))))
-
+        p = live(df, points).withColumn("top", F.first("cid").over(best)).withColumn("of", F.first("p").over(best))
+        other = p.where("cid != top").join(q.select(F.col("m").alias("_m"), F.col("cid").alias("_cid"), F.col("g").alias("q")), (F.xxhash64("top") == F.col("_m")) & (F.col("cid") == F.col("_cid")), "left")
+        other = other.withColumn("q", F.coalesce("q", F.lit(0.0))).drop("_m", "_cid")
+        # an equal rival that is another work halves both
+        rival = F.when((F.col("q") < 0.5) & (F.col("p") >= F.col("of") - 1e-9), F.col("p"))
+        against = other.groupBy("m").agg(F.max(rival).alias("rival")).where("rival is not null")
+        first = p.where("cid = top").join(against, "m", "left").withColumn("g", F.col("p") * F.col("p") / (F.col("p") + F.coalesce("rival", F.lit(0.0))))
+        halved = F.when((F.col("q") < 0.5) & (F.col("p") >= F.col("of") - 1e-9), F.col("p") / 2).otherwise(F.col("p"))
+        return first.select("m", "cid", "point", "p", "g").unionByName(other.select("m", "cid", "point", "p", F.least(halved, "q").alias("g")))
+
+    def consistent() -> DataFrame:
+        """The pairs held to the catalogue's own matches, and these to each other."""
+        among = live(twins, twin_point).select("m", "cid", F.col("p").alias("g"))
+        return held(pairs, point, held(twins, twin_point, among))
+
+    where = {int(a): i for i, a in enumerate(point)}
     for _ in range(rounds):
-        mean = held().groupBy(*FEATURES).agg(F.avg("g").alias("g")).collect()
-        at = {tuple(r[: len(FEATURES)]): r.g for r in mean}
-        model.fit_step(np.array([at[tuple(map(int, v))] for v in x]))
+        g, before = model.posterior(), model.posterior()
+        for r in consistent().groupBy("point").agg(F.sum(F.col("p") - F.col("g")).alias("less")).collect():
+            g[where[r.point]] -= r.less / model.n[where[r.point]]
+        model.fit_step(np.clip(g, 0, 1))
         model.g = model.posterior()
-    good = held().where(F.col("g") >= threshold).select("m", F.col("cid").alias("catalog_ip_id"), F.col("g").alias("confidence"))
-    return h.select("hash", "m").join(good, "m").groupBy("hash", "catalog_ip_id").agg(F.max("confidence").alias("confidence"))
+        if np.abs(model.g - before).max() <= settled:
+            break
+    good = consistent().where(F.col("g") >= threshold).select("m", F.col("cid").alias("catalog_ip_id"), F.col("g").alias("confidence"))
+    return salted_join(h.select("hash", "m"), good, ["m"]).groupBy("hash", "catalog_ip_id").agg(F.max("confidence").alias("confidence"))
+
+
+def vectors_of(points: np.ndarray) -> np.ndarray:
+    """Similarity vectors of numbered grid points."""
+    out = np.empty((len(points), len(_LEVELS)))
+    rest = points.astype(int)
+    for j in range(len(_LEVELS) - 1, -1, -1):
+        rest, out[:, j] = np.divmod(rest, _LEVELS[j])
+    return out - 1

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from peertide.functions import release
 from peertide.llm import kmv, leak, overlap, pii, pii_forms, pii_train, queries, resolve, tokens, topn
 
 D = "/root/testdata/sf0.001"
@@ -50,7 +51,7 @@ def test_query(spark, name):
     ],
 )
 def test_parse_release(raw, want):
-    assert resolve.parse_release(raw) == want
+    assert release.parse_release(raw) == want
 
 
 def test_match(spark):
@@ -79,6 +80,71 @@ def test_match(spark):
     assert resolve.match(h.limit(0), c).count() == 0 and resolve.match(h, c.limit(0)).count() == 0
 
 
+def _names(n: int, seed: int) -> list[str]:
+    rng = random.Random(seed)
+    common = ["silent", "letter", "garden", "lantern", "of", "golden", "river"]
+    rare = ["".join(rng.choice("abdegiklmnoprstuvz") for _ in range(rng.randrange(4, 10))) for _ in range(60)]
+    out = set()
+    for _ in range(n):
+        w = rng.sample(common, rng.randrange(0, 4)) + rng.sample(rare, rng.randrange(0, 3))
+        if w and rng.random() < 0.5:
+            k = rng.randrange(len(w))
+            at = rng.randrange(len(w[k]))
+            w[k] = w[k][:at] + rng.choice(["", "x", w[k][at] * 2]) + w[k][at + 1 :]
+        out.add(" ".join(x for x in w if x))
+    return sorted(out - {""})
+
+
+def test_candidates(spark):
+    """Against all pairs: every word of the shorter name is found in the other, equal, one edit or one exchange away."""
+
+    def one(a: str, b: str) -> bool:
+        if a == b:
+            return True
+        if len(a) < 5 or len(b) < 4:
+            return False
+        cut = lambda x: {x[:i] + x[i + 1 :] for i in range(len(x))}
+        edits = (len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1) or a in cut(b) or b in cut(a)
+        turned = len(a) == len(b) and sorted(a) == sorted(b) and any(a[:i] + a[i + 1] + a[i] + a[i + 2 :] == b for i in range(len(a) - 1))
+        return edits or turned
+
+    names, catalog = _names(150, 1), _names(150, 2)
+    got = {tuple(r) for r in resolve.candidates(*[spark.createDataFrame([(x,) for x in n], "name string") for n in (names, catalog)]).collect()}
+    want = set()
+    for a in names:
+        for b in catalog:
+            p, q = set(a.split()), set(b.split())
+            if all(any(one(x, y) for y in q) for x in p) if len(p) < len(q) else all(any(one(x, y) for x in p) for y in q):
+                want.add((a, b))
+    assert want <= got
+    assert len(got) <= 1.2 * len(want)  # an exchange of letters further apart may meet as well
+    assert resolve.candidates(*[spark.createDataFrame([], "name string")] * 2).count() == 0
+
+
+def test_mixture_rises_and_hardly_depends_on_its_prior():
+    rng = np.random.default_rng(4)
+    match = rng.random(4000) < 0.3
+    levels = [np.where(match, rng.choice([8, 9, 10], 4000), rng.integers(0, 8, 4000)), np.where(match, rng.choice([10, 10, 10, 0], 4000), rng.integers(0, 7, 4000))]
+    levels += [np.where(match, 4, rng.choice([0, 0, 3, 4], 4000)), np.where(match, 1, rng.integers(0, 2, 4000)), np.where(match, 1, rng.integers(0, 2, 4000)), np.where(match, rng.choice([1, 1, 1, 0], 4000), 0)]
+    x = np.stack(levels, 1).astype(float)
+    x[rng.random(x.shape) < 0.3] = -1
+    x[(x < 0).all(axis=1), 0] = 5
+    kept = []
+    for weight in (0.03, 0.1, 0.3):
+        for spread in (0.25, 0.5, 1.0):
+            m = resolve.Mixture(x, np.ones(4000), resolve.Prior(weight, spread))
+            m.fit_step(m.g)
+            values = []
+            for _ in range(30):
+                m.fit_step(m.posterior())
+                values.append(m.objective())
+            assert all(b >= a - 1e-6 * abs(a) for a, b in zip(values, values[1:]))
+            kept.append(((m.posterior() >= 0.5) == match).mean())
+    assert min(kept) > 0.95
+    v = resolve.vectors_of(np.arange(12 * 12 * 6 * 27))
+    assert len(np.unique(v, axis=0)) == len(v) and v.min() == -1 and v[:, 2].max() == 4
+
+
 # --- problem 5
 
 
