@@ -39,3 +39,21 @@ def strict_best(df: DataFrame, by: list[str], score: str, pick: str) -> DataFram
     w = Window.partitionBy(*by)
     top = df.withColumn("_m", F.max(score).over(w)).where(F.col(score) == F.col("_m"))
     return top.groupBy(*by).agg(F.min(pick).alias(pick), F.count_distinct(pick).alias("_n"), F.max(score).alias(score)).where("_n = 1").drop("_n")
+
+
+def canonical_by_authority(meta: DataFrame, compatible) -> DataFrame:
+    """(old, new) from meta(ip_id, title, imdb, anime, resolved), one row per id.
+
+    Ids of one imdb number are one work, else ids of one anime id; the first resolved id, then the first id, stands for them. Ids
+    without either that nothing resolves fold into the id of their title's one resolved id, followed to what stands for it, if
+    `compatible(old, new)`. Equal titles of different numbers stay apart. No new id is itself replaced."""
+    key = F.when(F.col("imdb").isNotNull(), F.concat(F.lit("i"), "imdb")).otherwise(F.concat(F.lit("a"), "anime"))
+    known = meta.select("ip_id", F.col("resolved").isNull().alias("late"), key.alias("key")).where("key is not null")
+    best = known.groupBy("key").agg(F.min(F.struct("late", "ip_id")).alias("m")).select("key", F.col("m.ip_id").alias("new"))
+    hard = known.join(best, "key").select(F.col("ip_id").alias("old"), "new")
+    resolved = meta.where("resolved is not null")
+    lone = resolved.where("title is not null").groupBy("title").agg(F.min("resolved").alias("resolved"), F.max("resolved").alias("most")).where("resolved = most").drop("most")
+    home = resolved.groupBy("resolved").agg(F.min("ip_id").alias("home"))
+    loose = meta.where("imdb is null and anime is null and resolved is null").select(F.col("ip_id").alias("old"), "title")
+    soft = loose.join(lone, "title").join(home, "resolved").join(hard.select(F.col("old").alias("home"), "new"), "home", "left").select("old", F.coalesce("new", "home").alias("new"))
+    return hard.unionByName(soft.where(compatible(F.col("old"), F.col("new")))).where("old != new")

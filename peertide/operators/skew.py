@@ -33,12 +33,13 @@ def with_parts(df: DataFrame, keys: list[str], heavy: DataFrame, alias: str = "p
     return out.drop("_heavy_parts", *[f"_heavy_{i}" for i in range(len(keys))])
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], *, part_rows: int = PART_ROWS, most_heavy: int = MOST_HEAVY) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], *, heavy: DataFrame | None = None, part_rows: int = PART_ROWS, most_heavy: int = MOST_HEAVY) -> DataFrame:
     """Inner join on equal non-null keys whose hot keys are split: rows of `left` of a key with more rows than a part get a salt, a
     hash of the row, and the rows of `right` of that key are repeated once per salt.
 
-    left is read twice (its keys are counted first): hand over a stored table. Equal rows of left share a salt."""
-    heavy = heavy_keys(durable(left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))), keys, part_rows=part_rows, most_heavy=most_heavy)
+    Without `heavy`, left is read twice (its keys are counted first): hand over a stored table. Equal rows of left share a salt."""
+    if heavy is None:
+        heavy = heavy_keys(durable(left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))), keys, part_rows=part_rows, most_heavy=most_heavy)
     row = F.xxhash64(*[F.col(c) for c, kind in left.dtypes if not kind.startswith("map")])
     a = with_parts(left, keys, heavy, "_parts").withColumn("_salt", F.pmod(row, F.col("_parts")).cast("int")).drop("_parts")
     b = with_parts(right, keys, heavy, "_parts").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")

@@ -37,13 +37,6 @@ def er02_canon_v1(spark, d):
     return identity.canonical_map(t, [F.col("title"), F.col("category")], "ip_id", order)
 
 
-def er04_canon_v2(spark, d):
-    """Ids with one imdb number fold first, then ids with one title; no id points at a replaced one."""
-    t = _titles(spark, d)
-    first = identity.canonical_map(t, [F.col("imdb")], "ip_id", [-F.col("n_hashes")])
-    return identity.chained_map(first, er02_canon_v1(spark, d))
-
-
 def er03_apply_canon(spark, d):
     """Demand of the week under canonical ids."""
     m = er02_canon_v1(spark, d)
@@ -59,12 +52,6 @@ def er07_fuzzy(spark, d):
     return pairs.withColumn("ratio", F.round("ratio", 6)).where("ratio >= 0.82").select("title", "ip_id", "ratio")
 
 
-def er06_name_guard(spark, d):
-    """Hashes whose release name passes the guard for their title."""
-    b = bridge(spark, d).where("raw_name is not null and title is not null")
-    return b.select("hash", text.name_guard(F.col("raw_name"), F.col("title")).alias("passes"))
-
-
 def er10_alias_best(spark, d):
     """The one catalogue entry whose words cover most of a title's, none where two are equally good."""
     a = bridge(spark, d).where("title is not null").select("title").distinct()
@@ -155,12 +142,6 @@ ORACLE = {
     "er03_apply_canon": f"""with {BRIDGE}, {_TITLES}, {_V1}, w as (select date, case when upper(trim(country, E' \\t\\n\\r')) not in ('', 'XX', '??', 'OTHER') then upper(trim(country, E' \\t\\n\\r')) end as country,
   lower(trim(ip_id, E' \\t\\n\\r')) as ip_id, ip_count from title_country where ip_id is not null and ip_count is not null)
   select date, country, coalesce(new, ip_id) as ip_id, max(ip_count) as ip_count from w left join v1 on old = ip_id where country is not null group by 1, 2, 3""",
-    "er04_canon_v2": f"""with {BRIDGE}, {_TITLES}, {_V1}, m1 as (select * from v1 where old <> new),
-  f as (select ip_id as old, first_value(ip_id) over (partition by imdb order by n_hashes desc, ip_id) as new from titles where imdb is not null), m0 as (select * from f where old <> new)
-  select * from (select m0.old, coalesce(m1.new, m0.new) as new from m0 left join m1 on m1.old = m0.new union all select * from m1 where old not in (select old from m0)) where old <> new""",
-    "er06_name_guard": f"""with {BRIDGE}, x as (select hash, list_filter({_WORDS.format(c="title")}, lambda x: x not in ({", ".join(f"'{w}'" for w in text.STOP_WORDS)})) as w, {_WORDS.format(c="raw_name")} as r
-  from bridge where raw_name is not null and title is not null), y as (select hash, len(w) as n, len(list_intersect(w, r)) as met from x)
-  select hash, case when n = 0 then false when n <= 3 then met = n when n = 4 then met >= 3 else met / n >= 0.6 end as passes from y""",
     "er10_alias_best": f"""with {BRIDGE}, a as (select title, unnest({_WORDS.format(c="title")}) as w from (select distinct title from bridge where title is not null)),
   c as (select ip_id, unnest({_WORDS.format(c="ip")}) as w from catalog_info), n as (select title, ip_id, count(*) as score from a join c using (w) where length(w) > 3 group by 1, 2),
   r as (select *, rank() over (partition by title order by score desc) as k from n)

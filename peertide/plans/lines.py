@@ -171,13 +171,6 @@ def fn_s06_strip_group(spark, d):
     return table(spark, d, "hashes").where("raw_name is not null").select("raw_name", s.alias("name")).distinct()
 
 
-def fn_s19_owner(spark, d):
-    """Owner class of a channel by ordered keyword rules."""
-    n = F.lower("name")
-    rule = F.when(n.contains("sport"), "sport").when(n.rlike("news|info"), "news").when(n.startswith("z"), "z-group").otherwise("other")
-    return table(spark, d, "acestream_demand").select("infohash", rule.alias("class")).distinct().groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-
-
 def fn_s20_id_parts(spark, d):
     b = bridge(spark, d).where("ip_id is not null").select("ip_id").distinct()
     return b.select("ip_id", F.split_part("ip_id", F.lit("-"), F.lit(1)).alias("family"), F.split_part("ip_id", F.lit("-"), F.lit(2)).alias("rest"))
@@ -359,7 +352,6 @@ ORACLE = {
     "set13_fill_only": f"with {BRIDGE}, b as (select hash, ip_id, {_IM} as imdb from bridge where ip_id is not null) select hash, coalesce(imdb, min(imdb) over (partition by ip_id)) as imdb from b",
     "fn_s06_strip_group": r"select distinct raw_name, regexp_replace(regexp_replace(raw_name, '\.(mkv|mp4|avi|zip)$', ''), '-[A-Za-z0-9]+$', '') as name from hashes where raw_name is not null",
     "fn_s07_camel": "select distinct name, regexp_replace(replace(name, ' ', ''), '([a-z])([A-Z])', '\\1 \\2', 'g') as spaced from acestream_demand",
-    "fn_s19_owner": "select case when contains(lower(name), 'sport') then 'sport' when regexp_matches(lower(name), 'news|info') then 'news' when starts_with(lower(name), 'z') then 'z-group' else 'other' end as class, count(distinct infohash) as n from acestream_demand group by 1",
     "fn_s20_id_parts": f"with {BRIDGE} select distinct ip_id, split_part(ip_id, '-', 1) as family, split_part(ip_id, '-', 2) as rest from bridge where ip_id is not null",
     "fn_s34_ipv4": f"""with {OBS}, n as (select distinct try_cast(regexp_extract(ip, '([0-9]+)$', 1) as bigint) as n from obs) select n, (n // 16777216 % 256) || '.' || (n // 65536 % 256) || '.' || (n // 256 % 256) || '.' || (n % 256) as address, n as back
   from n where n is not null""",
