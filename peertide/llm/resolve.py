@@ -71,17 +71,20 @@ def candidates(names: DataFrame, catalog: DataFrame) -> DataFrame:
 
     def posted(df: DataFrame, id_: str, words_: str, one: str, two: str) -> DataFrame:
         short = f"case when size({words_}) = 1 then {one.format(a=words_)} else {two.format(a=f'slice({words_}, 1, 2)')} end"
-        return df.select(id_, words_, F.explode(F.array_distinct(F.expr(short))).alias("key"))
+        return df.select(id_, F.explode(F.array_distinct(F.transform(F.expr(short), lambda x: F.xxhash64(x)))).alias("key"))
 
     def looked_up(df: DataFrame, id_: str, words_: str, one: str, two: str) -> DataFrame:
-        return df.select(id_, words_, F.explode(F.array_distinct(F.expr(f"concat({one.format(a=words_)}, {two.format(a=words_)})"))).alias("key"))
+        keys = F.expr(f"concat({one.format(a=words_)}, {two.format(a=words_)})")
+        return df.select(id_, F.explode(F.array_distinct(F.transform(keys, lambda x: F.xxhash64(x)))).alias("key"))
 
+    # keys travel as numbers, words only with the pairs that met
     l, r = (left, "name", "a", one_left, two_left), (right, "c_name", "c", one_right, two_right)
+    met = salted_join(durable(looked_up(*l)), posted(*r), ["key"]).select("name", "c_name")
+    met = met.unionByName(salted_join(durable(looked_up(*r)), posted(*l), ["key"]).select("name", "c_name")).distinct()
+    both = met.join(left, "name").join(right, "c_name")
     of_right = F.expr("forall(c, y -> exists(a, x -> array_contains(x.to, y)))")
     of_left = F.expr("forall(a, x -> arrays_overlap(x.to, c))")
-    shorter_right = salted_join(durable(looked_up(*l)), posted(*r), ["key"]).where(F.expr("size(c) <= size(a)") & of_right)
-    shorter_left = salted_join(durable(posted(*l)), looked_up(*r), ["key"]).where(F.expr("size(a) < size(c)") & of_left)
-    return shorter_right.select("name", "c_name").unionByName(shorter_left.select("name", "c_name")).distinct()
+    return both.where(F.when(F.expr("size(c) <= size(a)"), of_right).otherwise(of_left)).select("name", "c_name")
 
 
 #: Order of the similarity vector: similarity (0..10) of the release's name, or of its title where that says nothing,
