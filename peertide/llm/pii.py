@@ -173,9 +173,17 @@ def spans_of(tags: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
 
 def reconcile(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
     """One set of spans of a document from those of its overlapping windows, given as (start, end, kind, distance to the
-    nearest inner edge of its window). Spans seen further from an edge win over those they overlap; ties go to the longer."""
+    nearest inner edge of its window). Spans cut by an edge are joined with what they overlap of their kind, so a span may be longer
+    than any window; then spans seen further from an edge win over those they overlap; ties go to the longer."""
+    joined: list[tuple[int, int, int, int]] = []
+    for s, e, k, d in sorted(found):
+        if joined and joined[-1][2] == k and s <= joined[-1][1] and (d == 0 or joined[-1][3] == 0) and e > joined[-1][1]:
+            a, _, _, d0 = joined[-1]
+            joined[-1] = (a, e, k, max(d, d0, 1))
+        else:
+            joined.append((s, e, k, d))
     kept: list[tuple[int, int, int]] = []
-    for s, e, k, _ in sorted(found, key=lambda x: (-x[3], x[0] - x[1], x[0])):
+    for s, e, k, _ in sorted(joined, key=lambda x: (-x[3], x[0] - x[1], x[0])):
         if all(e <= a or s >= b for a, b, _ in kept):
             kept.append((s, e, k))
     return sorted(kept)
@@ -185,7 +193,8 @@ _FORMS = {0: forms.EMAIL, 1: forms.PHONE, 2: forms.ID_NUMBER, 3: forms.ADDRESS,
 
 
 def checked(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """The exact check: each span takes the extent of the form of its kind that overlaps it most, and goes if there is none."""
+    """Ends and veto: a span that a written form of its kind covers for the most part takes that form's ends; any other keeps its own,
+    widened to whole words, and goes if it cannot be of its kind (see forms.possible)."""
     out: list[tuple[int, int, int]] = []
     for s, e, k in spans:
         best = None
@@ -196,18 +205,48 @@ def checked(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int
                 s -= 1
             while e < len(text) and text[e].isalnum():
                 e += 1
+            title = forms.BEFORE_NAME.match(text, s, e)
+            s = title.end() if title else s
             m = forms.NAME.search(text, s, min(len(text), e + 1))
             best = (m.start(), m.end()) if m and m.end() <= e + 1 and forms.plausible_name(m.group()) else None
         else:
             for m in _FORMS[k].finditer(text, lo, hi):
                 common = min(e, m.end()) - max(s, m.start())
-                if common > 0 and (best is None or common > best[2]):
+                if 2 * common > e - s and (best is None or common > best[2]):
                     best = (m.start(), m.end(), common)
+        if best is None:
+            own = forms.possible(text, s, e, k)
+            best = own if own and all(own[1] <= a or own[0] >= b for a, b, _ in spans if (a, b) != (s, e)) else None
         if best and (not out or best[0] >= out[-1][1]):
             out.append((best[0], best[1], k))
     return out
 
 
+def tag_texts(tagger: Tagger, table: np.ndarray, texts: list[str | None], lean: float) -> dict[int, list[tuple[int, int, int]]]:
+    """Checked spans of each text, by its place in the list; windows of many texts are tagged together."""
+    found: dict[int, list] = {}
+    lengths: dict[int, int] = {}
+    jobs: list[tuple[int, int, np.ndarray]] = []
+    for d, t in enumerate(texts):
+        if t and not t.isspace():
+            code = table[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)]
+            lengths[d] = len(code)
+            jobs += [(d, at, code[at : at + WINDOW]) for at in windows_of(len(code))]
+    jobs.sort(key=lambda j: len(j[2]))
+    for lo in range(0, len(jobs), BATCH):
+        parts = jobs[lo : lo + BATCH]
+        codes = np.zeros((len(parts), max(len(c) for _, _, c in parts)), np.uint8)
+        for r, (_, _, c) in enumerate(parts):
+            codes[r, : len(c)] = c
+        size = np.array([len(c) for _, _, c in parts])
+        for r, s, e, k in spans_of(tagger.decode(tagger.emissions(codes), size, lean)):
+            d, at, c = parts[r]
+            left = s if at else WINDOW
+            right = len(c) - e if at + len(c) < lengths[d] else WINDOW
+            found.setdefault(d, []).append((at + s, at + e, k, min(left, right)))
+    return {d: checked(texts[d], reconcile(spans)) for d, spans in found.items()}
+
+
 def find_personal(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", model: str = MODEL, lean: float = 1.0) -> DataFrame:
     """(doc_id, start, end, kind, value) for each piece of personal information in each text; offsets in code points.
 
@@ -223,41 +262,16 @@ def find_personal(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     name = os.path.basename(model)
     state: dict = {}
 
-    def tag(parts: list[tuple[int, int, np.ndarray]], found: dict[int, list], lengths: dict[int, int]) -> None:
-        tagger = state["tagger"]
-        codes = np.zeros((len(parts), max(len(c) for _, _, c in parts)), np.uint8)
-        for r, (_, _, c) in enumerate(parts):
-            codes[r, : len(c)] = c
-        size = np.array([len(c) for _, _, c in parts])
-        tags = tagger.decode(tagger.emissions(codes), size, lean)
-        for r, s, e, k in spans_of(tags):
-            d, at, c = parts[r]
-            left = s if at else WINDOW
-            right = len(c) - e if at + len(c) < lengths[d] else WINDOW
-            found.setdefault(d, []).append((at + s, at + e, k, min(left, right)))
-
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             state.update(tagger=Tagger.load(SparkFiles.get(name)), table=char_table())
-        table = state["table"]
         for whole in it:
             for lo in range(0, whole.num_rows, 1000):
                 b = whole.slice(lo, 1000)
                 texts = b.column(1).to_pylist()
-                found: dict[int, list] = {}
-                lengths: dict[int, int] = {}
-                jobs: list[tuple[int, int, np.ndarray]] = []
-                for d, t in enumerate(texts):
-                    if t and not t.isspace():
-                        code = table[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)]
-                        lengths[d] = len(code)
-                        jobs += [(d, at, code[at : at + WINDOW]) for at in windows_of(len(code))]
-                jobs.sort(key=lambda j: len(j[2]))
-                for at in range(0, len(jobs), BATCH):
-                    tag(jobs[at : at + BATCH], found, lengths)
                 row, start, end, kind, value = [], [], [], [], []
-                for d in sorted(found):
-                    for s, e, k in checked(texts[d], reconcile(found[d])):
+                for d, spans in sorted(tag_texts(state["tagger"], state["table"], texts, lean).items()):
+                    for s, e, k in spans:
                         row.append(d)
                         start.append(s)
                         end.append(e)

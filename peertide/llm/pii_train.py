@@ -1,11 +1,14 @@
 """Trains the tagger of personal information: python -m peertide.llm.pii_train DOCUMENTS.parquet OUT.npz [SECONDS [START.npz]]
 
-Labelled spans come from `pii_forms.labelled_spans` over a bounded sample of documents (SAMPLE rows, a parameter); names are
-exchanged for invented ones in half of the windows, so that the tagger learns where names stand and not which there are.
+One of three windows is put together by `pii_synth`, whose labels are known by construction and owe nothing to the written forms
+that check the tagger. The others come from a bounded sample of documents (SAMPLE rows, a parameter), labelled by form and
+context; names are exchanged for drawn ones in half of these, so that the tagger learns where names stand and not which
+there are. Each step averages the gradients of WORKERS processes.
 """
 
 from __future__ import annotations
 
+import multiprocessing as mp
 import sys
 import time
 
@@ -13,9 +16,10 @@ import numpy as np
 import pyarrow.parquet as pq
 
 from peertide.llm import pii_forms as forms
+from peertide.llm import pii_synth as synth
 from peertide.llm.pii import CHARS, TAGS, Tagger, char_table, start_and_moves
 
-SAMPLE, HIDDEN, T, B = 20_000, 32, 128, 96
+SAMPLE, HIDDEN, T, B, WORKERS = 20_000, 32, 128, 40, 8
 
 
 def invent(name: str, rng: np.random.Generator) -> str:
@@ -31,13 +35,24 @@ def invent(name: str, rng: np.random.Generator) -> str:
 
 def windows(texts: list[str], seed: int = 1):
     """Endless batches of (codes, tags) of B windows of T characters, half of them around a span."""
-    rng, table = np.random.default_rng(seed), char_table()
+    rng, table, draw = np.random.default_rng(seed), char_table(), synth.Draw(seed)
     labelled = [(t, forms.labelled_spans(t)) for t in texts]
     around = [(i, j) for i, (_, s) in enumerate(labelled) for j in range(len(s))]
     while True:
         codes, tags = np.zeros((B, T), np.uint8), np.zeros((B, T), np.int64)
         for r in range(B):
-            if r % 2 and around:
+            if r % 3 == 1:
+                text, spans = synth.document(draw, 2 * T)
+                lo = int(rng.integers(0, T)) if r % 2 else 0
+                cut = text[lo : lo + T]
+                codes[r, : len(cut)] = table[np.frombuffer(cut.encode("utf-32-le"), np.uint32)]
+                for a, b, k in spans:
+                    a, b = max(0, a - lo), min(len(cut), b - lo)
+                    if a < b:
+                        tags[r, a:b] = 2 + 2 * k
+                        tags[r, a] = 1 + 2 * k
+                continue
+            if r % 3 == 0 and around:
                 i, j = around[rng.integers(len(around))]
                 text, spans = labelled[i]
                 s, e, _ = spans[j]
@@ -149,6 +164,14 @@ def loss_and_grads(w: dict[str, np.ndarray], codes: np.ndarray, tags: np.ndarray
     return loss, grads
 
 
+def _worker(pipe, texts: list[str], seed: int) -> None:
+    for codes, tags in windows(texts, seed):
+        w = pipe.recv()
+        if w is None:
+            return
+        pipe.send(loss_and_grads(w, codes, tags))
+
+
 def train(texts: list[str], out: str, seconds: float, start: str | None = None) -> None:
     rng = np.random.default_rng(0)
     h = HIDDEN
@@ -161,24 +184,32 @@ def train(texts: list[str], out: str, seconds: float, start: str | None = None)
     if start:
         with np.load(start) as z:
             w = {k: z[k] for k in z.files}
+    pipes, context = [], mp.get_context("fork")
+    for i in range(WORKERS):
+        mine, theirs = context.Pipe()
+        context.Process(target=_worker, args=(theirs, texts, 100 + i), daemon=True).start()
+        pipes.append(mine)
     m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    began, shown, step = time.time(), 0.0, 0
-    for codes, tags in windows(texts):
-        loss, g = loss_and_grads(w, codes, tags)
+    began, shown, step, part = time.time(), 0.0, 0, 0.0
+    while part < 1:
+        for p in pipes:
+            p.send(w)
+        got = [p.recv() for p in pipes]
+        loss, g = float(np.mean([x[0] for x in got])), {k: sum(x[1][k] for x in got) / WORKERS for k in w}
         step += 1
         norm = np.sqrt(sum(float((v**2).sum()) for v in g.values()))
         part = (time.time() - began) / seconds
-        rate = (0.002 if start else 0.004) * min(1, step / 50) * (0.5 * (1 + np.cos(np.pi * min(part, 1))) + 0.01)
+        rate = 0.004 * min(1, step / 50) * (0.5 * (1 + np.cos(np.pi * min(part, 1))) + 0.01)
         for k, v in g.items():
             v = v * min(1, 5 / norm)
             m1[k] = 0.9 * m1[k] + 0.1 * v
             m2[k] = 0.99 * m2[k] + 0.01 * v * v
-            w[k] -= rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-7)
+            w[k] = w[k] - rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-7)
         shown = 0.95 * shown + 0.05 * loss if step > 1 else loss
         if step % 100 == 0:
             print(step, round(shown, 3), round(time.time() - began), flush=True)
-        if part > 1:
-            break
+    for p in pipes:
+        p.send(None)
     np.savez_compressed(out, **{k: v.astype(np.float32) for k, v in w.items()})
     Tagger.load(out)
 
