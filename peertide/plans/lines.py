@@ -315,6 +315,8 @@ QUERIES = {k: f for k, f in globals().items() if k[:3] in ("prj", "flt", "agg",
 _D = f"date '{AS_OF}'"
 _IM = r"case when regexp_extract(lower(coalesce(imdb_id, '')), '^\s*(?:tt)?0*([1-9][0-9]{5,})\s*$', 1) <> '' then 'tt' || lpad(regexp_extract(lower(coalesce(imdb_id, '')), '^\s*(?:tt)?0*([1-9][0-9]{5,})\s*$', 1), greatest(7, length(regexp_extract(lower(coalesce(imdb_id, '')), '^\s*(?:tt)?0*([1-9][0-9]{5,})\s*$', 1)))::int, '0') end"
 _WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({c}), '[^a-z0-9]+'), lambda x: x <> ''))"
+_SOME = f"list_filter({_WORDS}, lambda x: x not in ({', '.join(repr(w) for w in text.LITTLE_WORDS)}))"
+_CONTENT = f"case when len({_SOME}) > 0 then {_SOME} else {_WORDS} end"
 _KEY = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({c}), '&[a-z]+;|&#[0-9]+;', ' ', 'g'), '\b(19|20)[0-9]{{2}}\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'), '\s+', ' ', 'g'))"
 _YEAR = "nullif(regexp_extract(raw_name, '(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)', 1), '')::int"
 _INTER = f"len(list_intersect({_WORDS.format(c='raw_name')}, {_WORDS.format(c='title')}))"
@@ -331,8 +333,8 @@ ORACLE = {
     "agg08_dc_share": "select date, sum(dc_ip_count)::bigint as dc, sum(ip_count)::bigint as total, case when sum(ip_count) > 0 then sum(dc_ip_count)::double / sum(ip_count) else 0 end as share from title_demand where ip_count between 0 and 50000000 group by 1",
     "agg16_examples": f"""with {BRIDGE}, r as (select *, row_number() over (partition by category order by raw_name, hash) as rn from bridge where raw_name is not null)
   select category, count(*) as n, string_agg(raw_name, '|' order by rn) filter (rn <= 8) as examples from r group by 1""",
-    "agg18_wrong_year": f"""with {BRIDGE}, y as (select ip_id, {_YEAR} as y from bridge where ip_id is not null), z as (select *, min(y) over (partition by ip_id) as lo, count(*) over (partition by ip_id) as n from y where y is not null)
-  select ip_id, avg((abs(y - lo) > 2)::int::double) as wrong, max(n) as n from z group by 1 having max(n) >= 3""",
+    "agg18_wrong_year": f"""with {BRIDGE}, y as (select ip_id, {_YEAR} as y from bridge where ip_id is not null), m as (select ip_id, median(y) as m, count(y) as n from y where y is not null group by 1)
+  select ip_id, avg((abs(y - m) > 2)::int::double) as wrong, any_value(n) as n from y join m using (ip_id) where y is not null and n >= 3 group by 1""",
     "agg20_channel_rollup": """with a as (select run_ts, infohash, peer_country, max(peer_count) as p, max(bep33_leechers) as l from acestream_demand group by 1, 2, 3)
   select run_ts, infohash, max(l) as leechers, sum(p)::bigint as sample, string_agg(coalesce(peer_country, '?') || '=' || p, ',' order by coalesce(peer_country, '?'), p) as geo from a group by 1, 2""",
     "agg22_country_rank": f"with {WEEKLY}, w as (select date, country, sum(ip_count)::bigint as total from weekly group by 1, 2) select *, row_number() over (partition by date order by total desc, country) as rank from w",
@@ -359,8 +361,8 @@ ORACLE = {
     "fn_m04_tiers": f"with {BRIDGE} select case when coalesce(seeders, 0) >= 1000 then 30 when coalesce(seeders, 0) >= 100 then 20 when coalesce(seeders, 0) >= 10 then 12 else 6 end as seconds, count(*) as n from bridge group by 1",
     "fn_a02_overlap": f"""with {BRIDGE} select hash, {_INTER}::double / len({_WORDS.format(c="title")}) as forward, {_INTER}::double / len({_WORDS.format(c="raw_name")}) as reverse from bridge
   where raw_name is not null and title is not null and len({_WORDS.format(c="title")}) > 0 and len({_WORDS.format(c="raw_name")}) > 0""",
-    "fn_j01_json": """with j as (select doc_id, nullif(regexp_extract(text, '(\\{"ip_id": [^}]*\\})', 1), '') as j from documents)
-  select doc_id, j->>'ip_id' as ip_id, (j->>'year')::int as year, (j->>'seeders')::bigint as seeders, (j->>'dc')::boolean as dc from j where j is not null and j->>'ip_id' is not null""",
+    "fn_j01_json": """with j as (select doc_id, unnest(regexp_extract_all(text, '(\\{"ip_id": [^}]*\\})', 1)) as j from documents)
+  select doc_id, j->>'ip_id' as ip_id, (j->>'year')::int as year, (j->>'seeders')::bigint as seeders, (j->>'dc')::boolean as dc from j where j->>'ip_id' is not null""",
     "er11_audit": f"""with {BRIDGE}, g as (select ip_id, avg(({_INTER} * 2 >= len({_WORDS.format(c="title")}))::int::double) as agreement, count(*) as n from bridge where ip_id is not null and raw_name is not null and title is not null group by 1)
   select * from g where n >= 3 and agreement < 0.6""",
     "er14_aliases": f"with {BRIDGE} select ip_id, {_KEY.format(c='title')} as alias_norm, min(title) as alias from bridge where ip_id is not null and title is not null and {_KEY.format(c='title')} <> '' group by 1, 2",
@@ -384,8 +386,10 @@ ORACLE = {
     "dq03_in_top": f"""with {BRIDGE}, {WEEKLY}, n as (select ip_id, raw_name, count(*) as n from bridge where ip_id is not null and raw_name is not null group by 1, 2),
   g as (select ip_id from n group by 1 having sum(n) >= 5 and max(n) >= 4 and count(*) / sum(n) < 0.5)
   select ip_id from g where ip_id in (select ip_id from (select ip_id, sum(ip_count) as total from weekly where date = {_D} group by 1 order by total desc, ip_id limit 100))""",
-    "er13_reverse": f"""with {BRIDGE}, t as (select title, {_WORDS.format(c="title")} as t from (select distinct title from bridge where title is not null)), c as (select ip_id, {_WORDS.format(c="ip")} as c from catalog_info where ip is not null)
-  select title, ip_id from t, c where len(list_filter(list_intersect(t, c), lambda x: length(x) >= 8)) > 0 and len(list_intersect(t, c)) / len(t) >= 0.5 and len(list_intersect(t, c)) / len(c) >= 0.3""",
+    "er13_reverse": f"""with {BRIDGE}, t as (select title, {_CONTENT.format(c="title")} as t, len({_SOME.format(c="title")}) = 0 as little from (select distinct title from bridge where title is not null)),
+  c as (select distinct ip_id, {_WORDS.format(c="ip")} as c, {_CONTENT.format(c="ip")} as k from catalog_info where ip is not null),
+  p as (select title, ip_id, t, case when little then c else k end as e from t, c where len(t) > 0)
+  select title, ip_id from p where len(list_intersect(t, e)) / len(t) >= 0.5 and len(list_intersect(t, e)) / len(e) >= 0.3""",
     "er09_reason": f"""with {BRIDGE} select case when raw_name is null then 'no name' when regexp_matches(lower(raw_name), 'collection|discography|files pack') then 'collection'
   when regexp_matches(lower(raw_name), '^[0-9a-f]{{32,40}}$') then 'hash for a name' when title is null and {_YEAR} is null then 'no title and no year' when title is null then 'no title' when ip_id is null then 'no id'
   else 'matched' end as reason, count(*) as n from bridge group by 1""",

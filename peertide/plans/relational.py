@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from peertide.functions import text
+from peertide.functions import rules, text
 from peertide.operators import dedup, joins
 from peertide.operators.demand import tagged_union
 from peertide.plans.common import AS_OF, BRIDGE, DAILY, OBS, WEEKLY, bridge, daily, observations, weekly
@@ -32,15 +32,16 @@ def flt05_in_having(spark, d):
 
 
 def flt06_exists_pair(spark, d):
-    """Dead hashes: observed at some time and not in the last seven days."""
-    o = observations(spark, d)
-    recent = o.where(F.col("last_seen") >= F.date_sub(_day(), 7)).select("hash")
-    return bridge(spark, d).select("hash", "seeders").join(o.select("hash"), "hash", "left_semi").join(recent, "hash", "left_anti")
+    """Dead hashes: observed at some time and not in the last seven days. One pass: a hash is dead if its last day is old or unknown."""
+    last = observations(spark, d).groupBy("hash").agg(F.max("last_seen").alias("last"))
+    dead = last.where(F.coalesce(F.col("last") < F.date_sub(_day(), 7), F.lit(True))).select("hash")
+    return bridge(spark, d).select("hash", "seeders").join(dead, "hash", "left_semi")
 
 
 def flt08_ilike(spark, d):
-    """Titles that contain a text, in any case."""
-    return daily(spark, d).select("ip_id").distinct().join(bridge(spark, d).select("ip_id", "title").distinct(), "ip_id").where(F.col("title").ilike("%lantern%"))
+    """Titles that contain a text; ASCII letters in either case, % and _ of the text are wildcards."""
+    hit = rules.like_any_case(F.col("title"), "%lan_ern%")
+    return daily(spark, d).select("ip_id").distinct().join(bridge(spark, d).select("ip_id", "title").distinct(), "ip_id").where(hit)
 
 
 def flt10_negated(spark, d):
@@ -198,14 +199,30 @@ def set16_cascade_delete(spark, d):
     return left.agg(F.count(F.lit(1)).alias("n")).select(F.lit("peers").alias("name"), "n").unionByName(kept.agg(F.count(F.lit(1)).alias("n")).select(F.lit("hashes").alias("name"), "n"))
 
 
+def set16_dry_run(spark, d):
+    """What a cascade of deletes would take from both tables, without taking it."""
+    dead = flt06_exists_pair(spark, d).select("hash")
+    rows = observations(spark, d).join(dead, "hash", "left_semi").groupBy("hash").agg(F.count(F.lit(1)).alias("n_peers"))
+    return dead.join(rows, "hash", "left").select("hash", F.coalesce("n_peers", F.lit(0)).alias("n_peers"))
+
+
+#: Hashes that one remap may change; a mapping that changes more is refused as a whole.
+REMAP_CAP = 500
+
+
 def set17_remap(spark, d):
-    """Titles renamed along a mapping of ids, under a cap on changes."""
+    """Hashes moved along a mapping of ids to the first id of their title and category, as they were (the backup), or one row that says
+    the mapping was refused."""
     b = bridge(spark, d).where("ip_id is not null")
     target = b.groupBy("title", "category").agg(F.min("ip_id").alias("new"))
     mapping = b.where("title is not null").select("ip_id", "title", "category").distinct().join(target, ["title", "category"]).where("ip_id != new")
     mapping = mapping.groupBy(F.col("ip_id").alias("old")).agg(F.min("new").alias("new"))
-    out, _ = dedup.remap(daily(spark, d), mapping, "ip_id", most=50_000_000)
-    return out.groupBy("ip_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    try:
+        out, backup = dedup.remap(b.select("hash", "ip_id"), mapping, "ip_id", most=REMAP_CAP)
+    except ValueError:
+        return spark.range(1).select(F.lit("refused").alias("status"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("old"), F.lit(None).cast("string").alias("new"))
+    moved = backup.select("hash", F.col("ip_id").alias("old")).join(out, "hash")
+    return moved.select(F.lit("moved").alias("status"), "hash", "old", F.col("ip_id").alias("new"))
 
 
 def srt01_nulls_last(spark, d):
@@ -228,6 +245,30 @@ def srt03_rotation(spark, d):
     return pool.join(last, "hash", "left").orderBy(F.asc_nulls_first("visit"), F.desc_nulls_last("seeders"), "hash").limit(40)
 
 
+def srt05_orders(spark, d):
+    """The first 20 titles of the day in each order a caller may ask for."""
+    from peertide.plans import serve
+
+    parts = [serve.titles(spark, d, sort=k, limit=20).select(F.lit(k).alias("sort"), "ip_id", "ip_count") for k in serve.SORTS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def srt08_offset(spark, d):
+    """Worker shares by round: the share of a hash moves on by one with each round."""
+    share = F.conv(F.substring("hash", 1, 8), 16, 10).cast("bigint")
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(3)))
+    return bridge(spark, d).select("hash", rounds.alias("round")).groupBy("round", F.pmod(share + F.col("round"), F.lit(4)).alias("worker")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def srt09_cap(spark, d):
+    """The 300 hashes with most observers of the day: ordered by their number, then cut."""
+    o = observations(spark, d).where(F.col("last_seen") == _day()).select("hash", "ip").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("num"))
+    return o.orderBy(F.desc("num"), "hash").limit(300)
+
+
 def srt08_stride(spark, d):
     """Each worker's share of the hashes: a hash of the key in place of a global row number, which would sort all rows."""
     share = F.pmod(F.conv(F.substring("hash", 1, 8), 16, 10).cast("bigint"), F.lit(4)).alias("worker")
@@ -238,15 +279,19 @@ QUERIES = {k: f for k, f in globals().items() if k[:3] in ("flt", "jn0", "jn1",
 
 _D = f"date '{AS_OF}'"
 _W = "regexp_split_to_array(lower({c}), '[^a-z0-9]+')"
+_SET = "list_distinct(list_filter(" + _W + ", lambda x: x <> ''))"
+_LITTLE = ", ".join(f"'{w}'" for w in text.LITTLE_WORDS)
+#: Words without little ones, all of them where there are no others.
+_CONTENT = f"case when len(list_filter({_SET}, lambda x: x not in ({_LITTLE}))) > 0 then list_filter({_SET}, lambda x: x not in ({_LITTLE})) else {_SET} end"
 _SIDES = """a as (select hash, max(seeders) as seeders, min(title) as title, list_sort(list_distinct(list(source))) as t from hashes where source in ('tpb','yts','eztv') group by 1),
   b as (select hash, max(seeders) as seeders, min(title) as title, list_sort(list_distinct(list(source))) as t from hashes where source in ('nyaa','bitmagnet','bep51','tpb') group by 1)"""
-_DEAD = f"dead as (select hash, seeders from bridge where hash in (select hash from obs) and hash not in (select hash from obs where last_seen >= {_D} - 7))"
+_DEAD = f"dead as (select hash, seeders from bridge where hash in (select hash from obs group by 1 having coalesce(max(last_seen) < {_D} - 7, true)))"
 ORACLE = {
     "flt04_not_in": f"with {OBS}, {BRIDGE} select hash from bridge where hash not in (select hash from obs)",
     "flt05_in_having": f"""with {OBS}, {BRIDGE} select hash, ip_id, seeders from bridge where hash in (select hash from obs group by hash
   having count(distinct ip) >= 20 or min(first_seen) >= {_D} - 2)""",
     "flt06_exists_pair": f"with {OBS}, {BRIDGE}, {_DEAD} select * from dead",
-    "flt08_ilike": f"with {BRIDGE}, {DAILY} select distinct ip_id, title from bridge where ip_id in (select ip_id from daily) and title ilike '%lantern%'",
+    "flt08_ilike": f"with {BRIDGE}, {DAILY} select distinct ip_id, title from bridge where ip_id in (select ip_id from daily) and translate(title, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') like '%lan_ern%'",
     "flt10_negated": "select source, category, count(*) as n from hashes where not (source = 'bep51' and category = 'Unknown') group by 1, 2",
     "flt13_regex": r"select distinct hash, raw_name from hashes where regexp_matches(raw_name, '(?i)\b(collection|discography|complete|files pack)\b')",
     "jn02_left": f"""with {BRIDGE}, {DAILY}, c as (select ip_id, min(category) as category, count(*) as n_hashes from bridge where ip_id is not null group by 1)
@@ -264,11 +309,13 @@ ORACLE = {
   select ip_id, date, value from r where rn = 1""",
     "jn13_scalar_subq": f"""with {WEEKLY}, w as (select category, ip_id, sum(ip_count)::bigint as total from weekly group by 1, 2)
   select * from w where total > (select avg(total) from w x where x.category = w.category)""",
-    "jn14_token_block": f"""with {BRIDGE}, a as (select distinct ip_id, unnest({_W.format(c="title")}) as w from bridge where ip_id is not null and title is not null),
-  b as (select distinct ip_id as catalog_id, unnest({_W.format(c="ip")}) as w from catalog_info)
-  select ip_id, catalog_id, count(*) as n_common from a join b using (w) where length(w) > 3 group by 1, 2 having count(*) >= 2""",
-    "jn15_containment": f"""with {BRIDGE}, n as (select hash, list_distinct(list_filter({_W.format(c="raw_name")}, lambda x: length(x) > 2)) as w from bridge where raw_name is not null),
-  a as (select ip_id as catalog_id, list_distinct(list_filter({_W.format(c="ip")}, lambda x: length(x) > 2)) as w from catalog_info),
+    "jn14_token_block": f"""with {BRIDGE}, a as (select distinct ip_id, {_CONTENT.format(c="title")} as t from bridge where ip_id is not null and title is not null),
+  b as (select ip_id as catalog_id, {_SET.format(c="ip")} as c from catalog_info where ip is not null),
+  m as (select t, catalog_id, len(list_intersect(t, c)) as n from (select distinct t from a where len(t) > 0) x, b where len(list_intersect(t, c)) > 0),
+  k as (select *, max(n) over (partition by t) as best from m)
+  select ip_id, catalog_id, max(n) as n_common from a join k using (t) where n >= greatest(1, len(t) // 2) or best < greatest(1, len(t) // 2) group by 1, 2""",
+    "jn15_containment": f"""with {BRIDGE}, n as (select hash, {_SET.format(c="raw_name")} as w from bridge where raw_name is not null),
+  a as (select ip_id as catalog_id, {_CONTENT.format(c="ip")} as w from catalog_info where ip is not null),
   c as (select hash, catalog_id, len(a.w) as n_words, row_number() over (partition by hash order by len(a.w) desc, catalog_id) as rn from n join a on len(a.w) > 0 and list_has_all(n.w, a.w))
   select hash, catalog_id, n_words from c where rn = 1""",
     "jn16_movers": f"""with {DAILY} select a.ip_id, a.value, a.value - coalesce(b.value, 0) as delta from daily a left join daily b on a.ip_id = b.ip_id and b.date = {_D} - 1
@@ -292,9 +339,14 @@ ORACLE = {
     "set15_retention": f"with {OBS} select last_seen, count(*) as n from obs where last_seen >= {_D} - 4 group by 1",
     "set16_cascade_delete": f"""with {OBS}, {BRIDGE}, {_DEAD} select 'peers' as name, count(*) as n from obs where hash not in (select hash from dead)
   union all select 'hashes', count(*) from bridge where hash not in (select hash from dead)""",
-    "set17_remap": f"""with {BRIDGE}, {DAILY}, t as (select title, category, min(ip_id) as new from bridge where ip_id is not null group by 1, 2),
-  m as (select ip_id as old, min(new) as new from bridge join t using (title, category) where ip_id <> new group by 1)
-  select coalesce(new, ip_id) as ip_id, count(*) as n, sum(value)::bigint as total from daily left join m on old = ip_id group by 1""",
+    "set16_dry_run": f"""with {OBS}, {BRIDGE}, {_DEAD}, k as (select hash, count(*) as n from obs group by 1) select hash, coalesce(n, 0) as n_peers from dead left join k using (hash)""",
+    "set17_remap": f"""with {BRIDGE}, t as (select title, category, min(ip_id) as new from bridge where ip_id is not null group by 1, 2),
+  m as (select ip_id as old, min(new) as new from bridge join t using (title, category) where ip_id <> new group by 1), c as (select hash, old, new from bridge join m on old = ip_id)
+  select 'moved' as status, hash, old, new from c where (select count(*) from c) <= {REMAP_CAP} union all select 'refused', null, null, null where (select count(*) from c) > {REMAP_CAP}""",
+    "srt05_orders": f"with {WEEKLY}, t as (select ip_id, min(title) as title, sum(ip_count)::bigint as ip_count from weekly where date = {_D} group by 1) " + " union all ".join(
+        f"select '{k}' as sort, ip_id, ip_count from (select * from t order by {o}, ip_id limit 20)" for k, o in (("ip", "ip_count desc"), ("ip_asc", "ip_count"), ("title", "title nulls last"), ("title_desc", "title desc nulls last"))),
+    "srt08_offset": f"with {BRIDGE} select r as round, (('0x' || substr(hash, 1, 8))::bigint + r) % 4 as worker, count(*) as n from bridge, range(0, 4) t(r) group by 1, 2",
+    "srt09_cap": f"with {OBS} select hash, count(distinct ip) as num from obs where last_seen = {_D} group by 1 order by num desc, hash limit 300",
     "srt01_nulls_last": f"with {BRIDGE} select hash, seeders, title from bridge order by seeders desc nulls last, title desc nulls last, hash limit 50",
     "srt02_three_key": f"""with {OBS}, {BRIDGE}, l as (select hash, max(last_seen) as last, min(first_seen) as f from obs where last_seen >= {_D} - 30 group by 1)
   select hash, seeders, last from bridge left join l using (hash) order by coalesce(seeders, 0) desc, coalesce(f >= {_D} - 2, false) desc, last desc nulls last, hash limit 100""",

@@ -215,7 +215,8 @@ def _meta(spark, d):
     itself."""
     imdb = F.nullif(F.regexp_extract(F.lower(F.coalesce("imdb_id", F.lit(""))), r"([0-9]{7,})", 1), F.lit(""))
     t = table(spark, d, "title_demand").where("ip_id is not null").select(norm_id("ip_id").alias("ip_id"), text.squash(F.col("title")).alias("title"), imdb.alias("imdb"), F.nullif(F.trim("anime_id"), F.lit("")).alias("anime"))
-    t = t.groupBy("ip_id").agg(F.min("title").alias("title"), F.max("imdb").alias("imdb"), F.max("anime").alias("anime"))
+    h = table(spark, d, "hashes").where("ip_id is not null").select(norm_id("ip_id").alias("ip_id"), text.squash(F.col("title")).alias("title"), imdb.alias("imdb"), F.lit(None).cast("string").alias("anime"))
+    t = t.unionByName(h).groupBy("ip_id").agg(F.min("title").alias("title"), F.max("imdb").alias("imdb"), F.max("anime").alias("anime"))
     c = table(spark, d, "catalog_info").select("ip_id", "imdb_id").select(F.col("ip_id").alias("cid"), imdb.alias("imdb")).where("imdb is not null").groupBy("imdb").agg(F.min("cid").alias("cid"))
     return t.join(c, "imdb", "left").select("ip_id", "title", "imdb", "anime", F.coalesce("cid", F.concat(F.lit("anime-"), "anime")).alias("resolved")).withColumn("unmapped", F.col("resolved").isNull().cast("int"))
 
@@ -278,7 +279,8 @@ _IMDB = "nullif(regexp_extract(lower(coalesce(imdb_id, '')), '([0-9]{7,})', 1),
 _SQUASH = r"trim(regexp_replace(lower({c}), '\s+', ' ', 'g'))"
 _FAMILY = "case when split_part(lower({c}), '-', 1) in ('film', 'series', 'anime') then split_part(lower({c}), '-', 1) end"
 _META = f"""c as (select {_IMDB} as imdb, min(ip_id) as cid from catalog_info where {_IMDB} is not null group by 1),
-  f as (select {NORM_ID} as ip_id, min({_SQUASH.format(c="title")}) as title, max({_IMDB}) as imdb, max(nullif(trim(anime_id), '')) as anime from title_demand where ip_id is not null group by 1),
+  f as (select {NORM_ID} as ip_id, min({_SQUASH.format(c="title")}) as title, max({_IMDB}) as imdb, max(nullif(trim(anime_id), '')) as anime
+    from (select ip_id, title, imdb_id, anime_id from title_demand union all select ip_id, title, imdb_id, null from hashes) where ip_id is not null group by 1),
   meta as (select ip_id, title, f.imdb, anime, coalesce(cid, 'anime-' || anime) as resolved from f left join c on c.imdb = f.imdb),
   hard as (select ip_id as old, first_value(ip_id) over (partition by case when imdb is not null then 'i' || imdb else 'a' || anime end order by resolved is null, ip_id) as new from meta where imdb is not null or anime is not null),
   lone as (select title, min(resolved) as resolved from meta where resolved is not null and title is not null group by 1 having count(distinct resolved) = 1),
@@ -318,7 +320,7 @@ ORACLE = {
     "fn_s19_owner": f"""with a as (select distinct infohash, lower(coalesce(name, '')) as n, replace(split_part(upper(coalesce(ch_country, '')), ',', 1), 'UK', 'GB') as cc from acestream_demand)
   select {_OWNER} as "group", count(distinct infohash) as n from a group by 1""",
     "fn_s24_datacenter": """select coalesce(regexp_matches(lower(name), 'cloud|news|server'), false) or length(name) % 7 in (3, 5) as datacenter, count(distinct name) as n from acestream_demand group by 1""",
-    "fn_s26_links": """with l as (select doc_id, list_filter(list_transform(list_distinct(regexp_extract_all(text, '<a href="([^"]+)"', 1)), lambda x: case when starts_with(x, '/') then 'https://wiki.example' || x else x end),
+    "fn_s26_links": """with l as (select doc_id, list_filter(list_transform(list_filter(regexp_extract_all(text, '<a href="([^"]+)"', 1), lambda x, i: list_position(regexp_extract_all(text, '<a href="([^"]+)"', 1), x) = i), lambda x: case when starts_with(x, '/') then 'https://wiki.example' || x else x end),
   lambda x: starts_with(x, 'https://wiki.example/') or starts_with(x, 'http://wiki.example/')) as l from documents where contains(text, '<a href'))
   select doc_id, array_to_string(l[1:2], ' ') as links from l""",
     "fn_s29_poster": f"""with {BRIDGE} select hash, case when seeders % 4 = 0 then null when seeders % 4 = 1 then 'https://image.example/t/p/w342/' || hash when seeders % 4 = 2 then 'https://a.example/' || hash

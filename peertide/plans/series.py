@@ -37,17 +37,31 @@ def win03_dense_series(spark, d):
 
 
 def win04_avg7(spark, d):
-    """Mean of the seven days before the day against the day itself, missing days 0."""
-    x = daily(spark, d)
-    now = x.where(F.col("date") == _day()).select("ip_id", F.col("value").alias("today"))
-    prior = x.where((F.col("date") < _day()) & (F.col("date") >= F.date_sub(_day(), 7))).groupBy("ip_id").agg((F.sum("value") / 7.0).alias("avg7"))
-    return now.join(prior, "ip_id", "full").select("ip_id", F.coalesce("today", F.lit(0)).alias("today"), F.coalesce("avg7", F.lit(0.0)).alias("avg7"))
-
-
-def win06_surge(spark, d):
-    """Titles that surge against their week, the largest ratios first."""
-    x = win04_avg7(spark, d).where("avg7 >= 1000")
-    return x.withColumn("ratio", F.bround(F.col("today") / F.col("avg7"), 4)).orderBy(F.desc("ratio"), "ip_id").limit(40)
+    """Mean of the days before the newest one among the last eight with demand, missing titles 0, beside the newest day: the divisor is
+    the number of those days, seven or fewer."""
+    axis = _axis(spark, d, 8)
+    today, n = axis.agg(F.max("date"), F.count(F.lit(1))).first()  # one row
+    x = daily(spark, d).join(axis, "date")
+    now = F.coalesce(F.sum(F.when(F.col("date") == F.lit(today), F.col("value"))), F.lit(0))
+    prior = F.coalesce(F.sum(F.when(F.col("date") < F.lit(today), F.col("value"))), F.lit(0))
+    return x.groupBy("ip_id").agg(now.alias("today"), (prior / F.lit(float(max(1, (n or 1) - 1)))).alias("avg7"))
+
+
+def win06_surge(spark, d, minutes: int = 1080):
+    """Three lists of at most 40 titles, for a day of which `minutes` are gone: the largest ratio and the largest rise of the
+    projected day over the mean (from a mean of 1000), and breakouts (mean under 150, 1500 today)."""
+    part = max(0.10, minutes / 1440)
+    x = win04_avg7(spark, d).withColumn("projected", F.col("today") / F.lit(part))
+    lists = {
+        "ratio": (F.col("avg7") >= 1000, F.bround(F.col("projected") / F.col("avg7"), 1)),
+        "absolute": (F.col("avg7") >= 1000, F.bround(F.col("projected") - F.col("avg7"), 0)),
+        "breakout": ((F.col("avg7") < 150) & (F.col("today") >= 1500), F.col("today").cast("double")),
+    }
+    out = None
+    for name, (where, measure) in lists.items():
+        top = x.where(where).select(F.lit(name).alias("list"), "ip_id", "today", measure.alias("measure")).orderBy(F.desc("measure"), "ip_id").limit(40)
+        out = top if out is None else out.unionByName(top)
+    return out
 
 
 def win07_wow(spark, d):
@@ -143,12 +157,17 @@ _AVG = f"""x as (select ip_id, coalesce(max(case when date = {_D} then value end
   from daily where date between {_D} - 7 and {_D} group by 1)"""
 _DELTA = "del as (select a.ip_id, a.date, a.value, coalesce(b.value, 0) as previous, a.value - coalesce(b.value, 0) as delta from daily a left join daily b on a.ip_id = b.ip_id and b.date = a.date - 1)"
 _EST = "case when {b} >= 2048 then 50000 when {b} <= 0 then 0 else floor(ln((2048 - {b}) / 2048.0::double) / (2 * ln(1 - 1 / 2048.0::double)))::int end"
+_EIGHT = f"""a as (select distinct date from daily where date <= date '{AS_OF}' order by date desc limit 8), m as (select max(date) as t, greatest(count(*) - 1, 1) as n from a),
+  e as (select ip_id, coalesce(sum(value) filter (date = t), 0)::bigint as today, coalesce(sum(value) filter (date < t), 0)::double / any_value(n) as avg7 from daily join a using (date), m group by 1)"""
 ORACLE = {
     "win01_dod_delta": f"with {DAILY}, {_DELTA} select * from del",
     "win02_previous_total": f"with {DAILY}, t as (select date, sum(value)::bigint as total from daily group by 1) select date, total, lag(total) over (order by date) as previous from t",
     "win03_dense_series": f"with {DAILY}, {_AXIS}, {_DENSE} select ip_id, string_agg(v::varchar, ',' order by date) as series from dense group by 1",
-    "win04_avg7": f"with {DAILY}, {_AVG} select * from x",
-    "win06_surge": f"with {DAILY}, {_AVG} select *, round_even(today / avg7, 4) as ratio from x where avg7 >= 1000 order by ratio desc, ip_id limit 40",
+    "win04_avg7": f"""with {DAILY}, {_EIGHT} select ip_id, today, avg7 from e""",
+    "win06_surge": f"""with {DAILY}, {_EIGHT}, l as (select 'ratio' as list, ip_id, today, round_even(today / 0.75::double / avg7, 1) as measure from e where avg7 >= 1000
+  union all select 'absolute', ip_id, today, round_even(today / 0.75::double - avg7, 0) from e where avg7 >= 1000
+  union all select 'breakout', ip_id, today, today::double from e where avg7 < 150 and today >= 1500),
+  r as (select *, row_number() over (partition by list order by measure desc, ip_id) as rn from l) select list, ip_id, today, measure from r where rn <= 40""",
     "win07_wow": f"""with {DAILY}, {_AXIS}, {_DENSE}, h as (select ip_id, sum(case when i > 7 then v end) / 7.0::double as now, sum(case when i <= 7 then v end) / 7.0::double as prior from dense group by 1)
   select ip_id, case when prior > 0 then (now - prior) / prior * 100 when now > 0 then 100.0::double end as change from h""",
     "win09_topn": f"""with {WEEKLY}, w as (select date, category, ip_id, sum(ip_count)::bigint as total from weekly group by 1, 2, 3)
