@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from peertide.functions.ids import is_observer, norm_country
 from peertide.operators.dedup import latest_view
 from peertide.plans.common import AS_OF, BRIDGE, OBS, bridge, observations
 from peertide.plans.relational import ORACLE as RELATIONAL
-from peertide.session import scratch, ship
+from peertide.session import scratch, ship, table
 from peertide.sources import feeds
 from peertide.streaming import announce
 
@@ -25,8 +25,8 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return s.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
 
 
-def _drain(df: DataFrame, mode: str) -> DataFrame:
-    """Runs a stream over what is there now and returns its output as a table."""
+def _drain(df: DataFrame, mode: str, key: list[str] | None = None) -> DataFrame:
+    """Runs a stream over what is there now and returns its output as a table: of updated rows the last state of each key."""
     spark = df.sparkSession
     base = scratch(spark)
 
@@ -35,26 +35,47 @@ def _drain(df: DataFrame, mode: str) -> DataFrame:
 
     q = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    if mode == "complete":
-        out = out.where(F.col("batch") == out.agg(F.max("batch")).first()[0])
-    return out.drop("batch")
+    out = spark.read.schema(StructType([*df.schema.fields, StructField("batch", IntegerType())])).parquet(f"{base}/out")
+    if mode != "update":
+        return out.drop("batch")
+    rest = [c for c in df.columns if c not in key]
+    newest = F.max_by(F.struct(*rest), "batch").alias("m")
+    return out.groupBy(*key).agg(newest).select(*key, "m.*")
 
 
 def stm01_stream_dedup(spark, d):
     """Distinct observers per day, hash and country, counted by a stream."""
-    return _drain(announce.daily_distinct(_stream(spark, d), late="60 days"), "complete")
+    return _drain(announce.daily_distinct(_stream(spark, d), late="2 days"), "update", ["day", "hash", "country"])
 
 
 def stm03_state_last_seen(spark, d):
-    """State of (hash, ip) after the stream."""
-    return _drain(announce.last_seen_state(_stream(spark, d), late="60 days"), "complete")
+    """State of (hash, ip) after the stream, from states that end with their day."""
+    return announce.settled_last_seen(_drain(announce.last_seen_state(_stream(spark, d)), "update", ["day", "hash", "ip"]))
+
+
+def stm04_retention(spark, d):
+    """Pairs of hash and observer, each once while it is remembered."""
+    return _drain(announce.first_in_retention(_stream(spark, d), ["hash", "ip"]).select("hash", "ip"), "append")
+
+
+def stm06_resume(spark, d):
+    """The worklist of a run that starts again: hashes without a row of the day."""
+    done = table(spark, d, "peers").where(F.col("last_seen") == F.lit(AS_OF).cast("date")).select(F.lower("hash").alias("hash"))
+    return bridge(spark, d).select("hash", "seeders").join(done, "hash", "left_anti")
+
+
+def stm08_hot_lane(spark, d):
+    """Observations of the hot set (at least 200 seeders), a lane of its own: the stream meets the set as it is when a batch starts."""
+    hot = bridge(spark, d).where("seeders >= 200").select("hash")
+    s = _stream(spark, d).join(hot, "hash", "left_semi").withWatermark("ingested_at", "2 days")
+    g = s.groupBy(F.window("ingested_at", "1 day").alias("w"), "hash").agg(F.count(F.lit(1)).alias("n"))
+    return _drain(g.select(F.to_date("w.start").alias("day"), "hash", "n"), "update", ["day", "hash"])
 
 
 def stm09_throttle(spark, d):
     """Alerts per source, at most one in six hours."""
-    events = _stream(spark, d).select(F.col("src").alias("source"), F.col("ingested_at").alias("at"))
-    return _drain(announce.throttled(events, "source", "at", 6 * 3600), "append").select("source", F.col("at").cast("timestamp_ntz").alias("at"))
+    events = _stream(spark, d).where("src is not null and ingested_at is not null").select(F.col("src").alias("source"), F.col("ingested_at").alias("at"))
+    return _drain(announce.throttled(events, "source", "at", 6 * 3600), "append").where("kind = 'alert'").select("source", F.col("at").cast("timestamp_ntz").alias("at"))
 
 
 def stm02_upsert_batches(spark, d):
@@ -68,9 +89,9 @@ def stm02_upsert_batches(spark, d):
 
 def stm05_rollover(spark, d):
     """Rows per event day and hour of arrival: a new day is a new window."""
-    s = _stream(spark, d).withWatermark("ingested_at", "60 days")
+    s = _stream(spark, d).withWatermark("ingested_at", "2 days")
     g = s.groupBy(F.window("ingested_at", "1 day").alias("w"), F.hour("ingested_at").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    return _drain(g.select(F.to_date("w.start").alias("day"), "hour", "n"), "complete")
+    return _drain(g.select(F.to_date("w.start").alias("day"), "hour", "n"), "update", ["day", "hour"])
 
 
 def stm07_tiers(spark, d):
@@ -82,11 +103,17 @@ def stm07_tiers(spark, d):
     return b.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("n"), F.sum("seeders").alias("seeders"))
 
 
-QUERIES = {f.__name__: f for f in (stm02_upsert_batches, stm05_rollover, stm07_tiers, stm01_stream_dedup, stm03_state_last_seen, stm09_throttle)}
+QUERIES = {f.__name__: f for f in (stm02_upsert_batches, stm05_rollover, stm07_tiers, stm01_stream_dedup, stm03_state_last_seen, stm04_retention, stm06_resume, stm08_hot_lane, stm09_throttle)}
 
 _UP = "upper(trim(country, E' \\t\\n\\r'))"
 _OBS = f"obs as (select lower(hash) as hash, ip, case when {_UP} in ('', 'XX', '??', 'OTHER') or country is null then '??' else {_UP} end as country, first_seen, last_seen, ingested_at from peers where not (starts_with(ip, '_queried_') or starts_with(ip, '_marker_')))"
 ORACLE = {
+    "stm04_retention": f"with {_OBS} select distinct hash, ip from obs",
+    "stm06_resume": f"with {BRIDGE} select hash, seeders from bridge where hash not in (select lower(hash) from peers where last_seen = date '{AS_OF}' and hash is not null)",
+    "stm08_hot_lane": f"with {_OBS}, {BRIDGE} select ingested_at::date as day, hash, count(*) as n from obs where hash in (select hash from bridge where seeders >= 200) group by 1, 2",
+    "stm09_throttle": f"""with recursive e as (select distinct src as source, date_trunc('second', ingested_at) as t from peers where not (starts_with(ip, '_queried_') or starts_with(ip, '_marker_')) and src is not null and ingested_at is not null),
+  a as (select source, min(t) as t from e group by source union all select a.source, min(e.t) from a join e on e.source = a.source and e.t >= a.t + interval 6 hours group by a.source)
+  select source, t as "at" from a""",
     "stm02_upsert_batches": RELATIONAL["set08_upsert_view"],
     "stm05_rollover": f"with {_OBS} select ingested_at::date as day, hour(ingested_at)::int as hour, count(*) as n from obs group by 1, 2",
     "stm07_tiers": f"""with {OBS}, {BRIDGE}, l as (select hash, max(last_seen) as last from obs group by 1)

@@ -33,7 +33,9 @@ def scan_log(spark: SparkSession, folder: str, day: str, schema: str = SCAN_LOG)
 def tolerant_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     s = StructType.fromDDL(f"{schema}, _bad string")
     r = spark.read.schema(s).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("enforceSchema", True)
-    return r.csv(path).withColumn("_file", F.input_file_name())
+    rows = r.option("columnPruning", False).csv(path)  # a line is only seen to be torn when all of it is parsed
+    none = F.coalesce(F.substring(F.col(s.fieldNames()[0]).cast("string"), 1, 0), F.lit(""))  # Spark refuses to read the mark alone
+    return rows.withColumn("_bad", F.concat("_bad", none)).withColumn("_file", F.input_file_name())
 
 
 def torn(df: DataFrame, warn: float = 0.001) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,26 +19,49 @@ def daily_distinct(stream: DataFrame, at: str = "ingested_at", late: str = "2 da
 
 
 def last_seen_state(stream: DataFrame, at: str = "ingested_at", late: str = "4 days") -> DataFrame:
-    """First and last sighting per (hash, ip) as a running aggregate: an old replay changes nothing."""
-    return stream.withWatermark(at, late).groupBy("hash", "ip").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    """First and last sighting per (hash, ip) and day of arrival: a day's state goes when the watermark has passed it, so state is bounded by the
+    lateness allowed. `settled_last_seen` merges the days; an old replay changes nothing."""
+    day = F.window(at, "1 day").alias("w")
+    return stream.withWatermark(at, late).groupBy(day, "hash", "ip").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")).select(F.to_date("w.start").alias("day"), "hash", "ip", "first_seen", "last_seen")
+
+
+def settled_last_seen(days: DataFrame) -> DataFrame:
+    """The state of (hash, ip) over all days written so far."""
+    return days.groupBy("hash", "ip").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+
+
+def first_in_retention(stream: DataFrame, key: list[str], at: str = "ingested_at", keep: str = "4 days") -> DataFrame:
+    """Each key once while it is remembered: a key is forgotten `keep` after its sighting, and then counts as new."""
+    return stream.withWatermark(at, keep).dropDuplicatesWithinWatermark(key)
 
 
 def throttled(events: DataFrame, key: str, at: str, pause_s: int, late: str = "1 hour") -> DataFrame:
-    """(key, at) of events that raise an alert: the first per key, and again only `pause_s` seconds after the last alert."""
+    """(key, at, kind): `alert` for the first event per key and again only `pause_s` seconds after the last alert; `recovered` when
+    none came for `pause_s` seconds, upon which the key's state ends.
+
+    Events of one second are one event, dropped before they reach the keyed state: however many there are, a key brings at
+    most 86,400 a day to its task."""
+    once = events.select(key, F.date_trunc("second", at).alias(at)).withWatermark(at, late).dropDuplicates([key, at])
 
     def run(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (last,) = state.get if state.exists else (-(1 << 62),)
+        if state.hasTimedOut:
+            (_, seen) = state.get
+            state.remove()
+            yield pd.DataFrame({key: [k[0]], at: [pd.Timestamp(seen + pause_s, unit="s")], "kind": ["recovered"]})
+            return
+        last, seen = state.get if state.exists else (-(1 << 62), 0)
         out = []
-        for t in sorted(x for f in frames for x in f[at]):
-            s = int(t.timestamp())
+        for s in np.unique(np.concatenate([f[at].to_numpy("datetime64[s]").astype(np.int64) for f in frames])).tolist():
             if s - last >= pause_s:
-                out.append(t)
+                out.append(s)
                 last = s
-        state.update((last,))
-        yield pd.DataFrame({key: [k[0]] * len(out), at: out})
+            seen = max(seen, s)
+        state.update((last, seen))
+        state.setTimeoutTimestamp(max((seen + pause_s) * 1000, state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame({key: [k[0]] * len(out), at: pd.to_datetime(out, unit="s"), "kind": ["alert"] * len(out)})
 
-    keyed = events.withWatermark(at, late).groupBy(key)
-    return keyed.applyInPandasWithState(run, f"{key} string, {at} timestamp", "last long", "append", GroupStateTimeout.NoTimeout)
+    return once.groupBy(key).applyInPandasWithState(run, f"{key} string, {at} timestamp, kind string", "last long, seen long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def upsert_batches(stream: DataFrame, path: str, checkpoint: str):
