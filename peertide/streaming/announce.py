@@ -49,17 +49,19 @@ def throttled(events: DataFrame, key: str, at: str, pause_s: int, late: str = "1
             state.remove()
             yield pd.DataFrame({key: [k[0]], at: [pd.Timestamp(seen + pause_s, unit="s")], "kind": ["recovered"]})
             return
-        last, seen = state.get if state.exists else (-(1 << 62), 0)
+        last, seen = state.get if state.exists else (-(1 << 62), 1 << 62)
         out = []
         for s in np.unique(np.concatenate([f[at].to_numpy("datetime64[s]").astype(np.int64) for f in frames])).tolist():
+            if s - seen >= pause_s:
+                out.append((seen + pause_s, "recovered"))
             if s - last >= pause_s:
-                out.append(s)
+                out.append((s, "alert"))
                 last = s
-            seen = max(seen, s)
+            seen = s if seen == 1 << 62 else max(seen, s)
         state.update((last, seen))
         state.setTimeoutTimestamp(max((seen + pause_s) * 1000, state.getCurrentWatermarkMs() + 1))
         if out:
-            yield pd.DataFrame({key: [k[0]] * len(out), at: pd.to_datetime(out, unit="s"), "kind": ["alert"] * len(out)})
+            yield pd.DataFrame({key: [k[0]] * len(out), at: pd.to_datetime([s for s, _ in out], unit="s"), "kind": [x for _, x in out]})
 
     return once.groupBy(key).applyInPandasWithState(run, f"{key} string, {at} timestamp, kind string", "last long, seen long", "append", GroupStateTimeout.EventTimeTimeout)
 
