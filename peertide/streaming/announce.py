@@ -35,9 +35,9 @@ def first_in_retention(stream: DataFrame, key: list[str], at: str = "ingested_at
     return stream.withWatermark(at, keep).dropDuplicatesWithinWatermark(key)
 
 
-def throttled(events: DataFrame, key: str, at: str, pause_s: int, late: str = "1 hour") -> DataFrame:
-    """(key, at, kind): `alert` for the first event per key and again only `pause_s` seconds after the last alert; `recovered` when
-    none came for `pause_s` seconds, upon which the key's state ends.
+def throttled(events: DataFrame, key: str, at: str, pause_s: int, late: str = "1 hour", recovery: bool = False) -> DataFrame:
+    """(key, at, kind): `alert` for the first event per key and again only `pause_s` seconds after the last alert; with `recovery` also
+    `recovered` when none came for `pause_s` seconds. Upon that the key's state ends either way.
 
     Events of one second are one event, dropped before they reach the keyed state: however many there are, a key brings at
     most 86,400 a day to its task."""
@@ -47,12 +47,13 @@ def throttled(events: DataFrame, key: str, at: str, pause_s: int, late: str = "1
         if state.hasTimedOut:
             (_, seen) = state.get
             state.remove()
-            yield pd.DataFrame({key: [k[0]], at: [pd.Timestamp(seen + pause_s, unit="s")], "kind": ["recovered"]})
+            if recovery:
+                yield pd.DataFrame({key: [k[0]], at: [pd.Timestamp(seen + pause_s, unit="s")], "kind": ["recovered"]})
             return
         last, seen = state.get if state.exists else (-(1 << 62), 1 << 62)
         out = []
         for s in np.unique(np.concatenate([f[at].to_numpy("datetime64[s]").astype(np.int64) for f in frames])).tolist():
-            if s - seen >= pause_s:
+            if recovery and s - seen >= pause_s:
                 out.append((seen + pause_s, "recovered"))
             if s - last >= pause_s:
                 out.append((s, "alert"))

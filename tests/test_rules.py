@@ -122,7 +122,7 @@ def test_alerts_pause_and_recover(spark, tmp_path):
     at = lambda h, m=0: datetime(2026, 1, 1, h, m)
     batches = [[("k", at(1)), ("k", at(1)), ("k", at(2))], [("k", at(7, 30))], [("x", at(23))], [("k", datetime(2026, 1, 2, 5))]]
     stream = _feed(spark, tmp_path, batches, "key string, at timestamp")
-    got = sorted((r[0], r[2], r[1].day, r[1].hour) for r in _run(announce.throttled(stream, "key", "at", 6 * 3600), "append", tmp_path / "c"))
+    got = sorted((r[0], r[2], r[1].day, r[1].hour) for r in _run(announce.throttled(stream, "key", "at", 6 * 3600, recovery=True), "append", tmp_path / "c"))
     assert [g for g in got if g[1] == "alert"] == [("k", "alert", 1, 1), ("k", "alert", 1, 7), ("k", "alert", 2, 5), ("x", "alert", 1, 23)]
     assert ("k", "recovered", 1, 13) in got
 
