@@ -15,9 +15,7 @@ from peertide.session import durable
 #: Identifiers a run holds about; sets are cut into ranges of the identifier space so that no run is much longer.
 RUN = 4096
 #: Partners met by one copy of a run; a set with more partners is copied to several tasks.
-PARTNERS = 256
-#: Levels of rarity: steps per doubling of the number of sets, and parts of a step (by bits of the member).
-STEPS, SHARES = 2, 8
+PARTNERS = 1024
 
 
 def encode(x: np.ndarray) -> bytes:
@@ -102,15 +100,15 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
 
     Candidates lose nothing: to share t of its n members with a larger set, the smaller one must share at least
     p - n + t of any p of its members. The p members taken are its rarest, up to a rarity level at which p > n - t, so
-    members seen nearly everywhere are not probed unless a set has little else. The level comes from a histogram per set
-    with half octaves cut in eight, so that p is close to the fewest possible; no set is sorted or gathered. A set of nothing
-    but common members still meets every set that holds one of the n - t + 1 it probes.
+    members seen nearly everywhere are not probed unless a set has little else. The level comes from a histogram per set;
+    no set is sorted or gathered. Whole octaves are probed: fewer members would do, but the more are probed, the more of them a
+    candidate has to share. A set of nothing but common members still meets every set that holds one of those it probes.
 
     Joins on a set or a member split hot sets and hot members by rows (see operators.skew).
 
     Each candidate pair is then counted by its runs: a set is cut into ranges of the identifier space of about 4,096 members,
     each a delta-encoded sorted run. A pair's fragments of the smaller set travel to the ranges of the larger one, a run meets
-    at most about 256 partners per task, and the counts per pair and range are summed.
+    at most about 1,024 partners per task, and the counts per pair and range are summed.
 
     Null keys and members take no part, repeats count once, sets under min_size give no rows, an empty table none.
     """
@@ -122,7 +120,7 @@ def overlaps(df: DataFrame, set_key: Column, member: Column, *, min_size: int =
     e = salted_join(elements, sizes, ["s"], heavy=hot_sets)
     # members of one set only cannot be shared; the others get a level of rarity by the number of their sets
     sets_of = durable(e.groupBy("i").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    level = (F.floor(F.log2("n") * STEPS) * SHARES + F.pmod("i", F.lit(SHARES))).cast("int")
+    level = F.floor(F.log2("n")).cast("int")
     common = salted_join(e, sets_of.select("i", level.alias("level")), ["i"], heavy=heavy_keys(sets_of, ["i"]))
     common = durable(common.select("s", "i", "n", "level"))
     need = F.ceil(F.col("n") * F.lit(min_share))
